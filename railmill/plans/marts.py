@@ -48,7 +48,12 @@ def planned_positions(status: DataFrame, stops: DataFrame, as_of: dt.datetime) -
 
 
 def live_train(
-    status: DataFrame, stops: DataFrame, schedules: DataFrame, locations: DataFrame, as_of: dt.datetime
+    status: DataFrame,
+    stops: DataFrame,
+    schedules: DataFrame,
+    locations: DataFrame,
+    as_of: dt.datetime,
+    span: dt.timedelta = dt.timedelta(hours=1),
 ) -> DataFrame:
     """One row per train whose latest planned position lies within an hour of ``as_of``.
 
@@ -87,7 +92,7 @@ def live_train(
     newest = [F.col("actual_timestamp").desc_nulls_last(), F.col("scheduled_event_timestamp").desc_nulls_last()]
     used = {"train_id", "actual_timestamp", "scheduled_event_timestamp"}
     latest = first_k(merged, ["train_id"], [*newest, *remaining_order(merged, used)], 1)
-    return latest.filter(within(F.col("scheduled_event_timestamp"), as_of, dt.timedelta(hours=1)))
+    return latest.filter(within(F.col("scheduled_event_timestamp"), as_of, span))
 
 
 def route_start_stop(
