@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column, such as parsed JSON, that is evaluated once per row.
+
+    A filter on a plain column is moved below it and repeats its expression there. The
+    value is emitted as a one-element unnest instead, which filters stay above of.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def unnest(df: DataFrame, column: str) -> DataFrame:
     """One row per struct with its fields as columns; an empty array drops the row."""
     others = [F.col(c) for c in df.columns if c != column]

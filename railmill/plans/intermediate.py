@@ -17,7 +17,7 @@ from railmill.functions import (
     slug_code,
     strict_cast,
 )
-from railmill.operators.arrays import json_array_rows
+from railmill.operators.arrays import computed_once, json_array_rows
 from railmill.operators.filters import latest_partition
 from railmill.schemas import SCHEDULE_LOCATION, SCHEDULE_SEGMENT
 
@@ -49,7 +49,7 @@ def _newest_day(schedules: DataFrame) -> DataFrame:
 def schedule_headers(schedules: DataFrame) -> DataFrame:
     """Schedules of the newest load with their segment fields, day flags and labels."""
     segment = F.from_json("schedule_segment_json", SCHEDULE_SEGMENT)
-    rows = _newest_day(schedules).withColumn("s", segment)
+    rows = computed_once(_newest_day(schedules), "s", segment)
     return rows.select(
         "train_uid",
         blank_to_null(F.col("s.signalling_id")).alias("train_signalling_id"),
@@ -87,7 +87,7 @@ def schedule_stops(schedules: DataFrame) -> DataFrame:
         & F.col("schedule_location_json").isNotNull()
     )
     stops = json_array_rows(running, "schedule_location_json", "loc_offset", "loc")
-    rows = stops.withColumn("l", F.from_json("loc", SCHEDULE_LOCATION))
+    rows = computed_once(stops, "l", F.from_json("loc", SCHEDULE_LOCATION))
 
     def time(field: str, name: str) -> Column:
         return hhmm_time(F.col(f"l.{field}")).alias(name)

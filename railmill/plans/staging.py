@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railmill.functions import blank_to_null, iso_to_date, safe_cast, strict_cast, surrogate_key
+from railmill.operators.arrays import computed_once
 from railmill.operators.dedup import keep_any, keep_latest
 from railmill.operators.filters import record_type
 from railmill.schemas import ASSOCIATION_PAYLOAD, SCHEDULE_PAYLOAD, TIPLOC_PAYLOAD
@@ -91,7 +92,8 @@ def describer(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:
 
 def _payload(raw: DataFrame, kind: str, schema: str, run_date: dt.date | None) -> DataFrame:
     rows = record_type(_of_day(raw, run_date), kind)
-    return rows.select("ingest_ts", F.from_json("payload", schema).alias("p")).select("ingest_ts", "p.*")
+    parsed = computed_once(rows.select("ingest_ts", "payload"), "p", F.from_json("payload", schema))
+    return parsed.select("ingest_ts", "p.*")
 
 
 def schedule(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-# Raw feed message: both parts read as text by field name, whatever else they carry.
-MESSAGE = "header map<string,string>, body map<string,string>"
-
 RAW_DUMP = "record_type string, payload string, ingest_ts timestamp"
 
 SCHEDULE_PAYLOAD = """
@@ -159,3 +156,14 @@ MESSAGE_TYPES = {
     "0007": "change_identity",
     "0008": "change_location",
 }
+
+
+def _message_schema() -> str:
+    """Raw feed message: every field any event type reads, as text."""
+    names = dict.fromkeys(spec.split(":")[0] for fields in TYPED_EVENTS.values() for spec in fields.split())
+    header = ", ".join(f"{n}: string" for n in ["msg_type", *[n for n in names if n in HEADER_FIELDS]])
+    body = ", ".join(f"{n}: string" for n in names if n not in HEADER_FIELDS)
+    return f"header struct<{header}>, body struct<{body}>"
+
+
+MESSAGE = _message_schema()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from railmill.functions import parsing
 from railmill.functions.labels import BERTH_TOPIC, DEAD_LETTER_TOPIC, TOPICS
+from railmill.operators.arrays import computed_once
 from railmill.schemas import HEADER_FIELDS, MESSAGE, MESSAGE_TYPES, TYPED_EVENTS
 
 PARSERS = {
@@ -35,10 +36,11 @@ def read_topic(spark: SparkSession, topics: str, options: dict[str, str], earlie
 
 def split_frames(frames: DataFrame, body: str = "value") -> DataFrame:
     """One row per record: a frame holds one JSON object or a list; empty frames vanish."""
-    listed = F.from_json(body, "array<string>")
+    blanks = F.lit(" \t\r\n")
+    listed = F.when(F.ltrim(body, blanks).startswith("["), F.from_json(body, "array<string>"))
     records = F.coalesce(listed, F.array(F.col(body)))
     others = [F.col(c) for c in frames.columns if c != body]
-    return frames.filter(F.trim(body) != "").select(*others, F.explode(records).alias(body))
+    return frames.filter(F.trim(body, blanks) != "").select(*others, F.explode(records).alias(body))
 
 
 def split_berth_frames(frames: DataFrame, body: str = "value") -> DataFrame:
@@ -56,7 +58,7 @@ def typed_berth_steps(records: DataFrame, body: str = "value", ingest_ts: str =
     def field(name: str) -> Column:
         return F.try_element_at(F.col("_m"), F.lit(name))
 
-    return records.withColumn("_m", fields).select(
+    return computed_once(records, "_m", fields).select(
         field("msg_type").alias("msg_type"),
         field("area_id").alias("area_id"),
         parsing.parse_millis(field("time")).alias("event_ts"),
@@ -74,9 +76,8 @@ def parse_messages(records: DataFrame, body: str = "value") -> DataFrame:
     ``reason`` is null for a record that has a route; otherwise it says why not.
     """
     parsed = F.from_json(body, f"{MESSAGE}, bad string", {"columnNameOfCorruptRecord": "bad"})
-    message = records.withColumn("message", parsed)
-    kind = F.try_element_at(F.col("message.header"), F.lit("msg_type"))
-    typed = message.withColumn("msg_type", kind)
+    message = computed_once(records, "message", parsed)
+    typed = message.withColumn("msg_type", F.col("message.header.msg_type"))
     routes = F.create_map(*[F.lit(x) for pair in TOPICS.items() for x in pair])
     undecodable = F.col("message").isNull() | F.col("message.bad").isNotNull()
     reason = F.when(undecodable, F.lit("JSONDecodeError")).when(
@@ -96,7 +97,7 @@ def typed_columns(event: str) -> list[Column]:
     for spec in TYPED_EVENTS[event].split():
         name, kind = spec.split(":")
         part = "header" if name in HEADER_FIELDS else "body"
-        columns.append(PARSERS[kind](F.try_element_at(F.col(f"message.{part}"), F.lit(name))).alias(name))
+        columns.append(PARSERS[kind](F.col(f"message.{part}.{name}")).alias(name))
     return columns
 
 
