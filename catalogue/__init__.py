@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("products",)
+MODULES = ("scans", "scalars", "predicates", "products")
 
 
 def load_all() -> None:

@@ -77,7 +77,7 @@ ROLES: dict[str, str] = {
         select lpad(cast(o_orderkey as string), 8, '0'), {UID.format(k="o_custkey")}, {STP}, cast({START} as string), cast({END} as string),
                (o_custkey + 1) % 30, o_orderdate, o_orderdate + cast(o_orderkey % 24 as int) * interval '1' hour,
                'newer', o_custkey % 1000, timestamp '2024-02-02 06:00:00'
-        from {{orders}} where o_orderkey % 4 = 0""",
+        from {{orders}} where o_orderpriority = '1-URGENT'""",
     "in_movement": """
         select lpad(cast(l_orderkey as string), 8, '0') as train_id, l_partkey % 30 as toc_id,
                (l_orderkey + 13 * (l_linenumber % 4)) % 1000 as loc_stanox,
@@ -93,7 +93,7 @@ ROLES: dict[str, str] = {
                l_partkey, l_shipdate + cast(l_linenumber as int) * interval '1' hour, 'ARRIVAL',
                cast(l_quantity as bigint) + 100, l_linestatus, cast(null as string), false,
                timestamp '2024-02-02 06:00:00'
-        from {lineitem} where l_partkey % 10 = 0""",
+        from {lineitem} where l_returnflag = 'A'""",
     "in_describer": f"""
         select event_id, case when event_type = 'error' then 'CT' else 'CA' end as msg_type,
                'A' || cast(event_id % 30 as string) as area_id, date_trunc('millisecond', ts) as event_ts,
@@ -108,7 +108,7 @@ ROLES: dict[str, str] = {
         from {supplier}
         union all
         select s_suppkey, ' tip' || cast(s_suppkey as string) || ' ', s_suppkey * 10, 'old', 'OLD ' || s_name, timestamp '2024-02-01 02:00:00'
-        from {supplier} where s_suppkey % 2 = 0""",
+        from {supplier} where s_acctbal > 0""",
     "in_corpus": """
         select c_custkey * 10 as nlc, case when c_custkey % 17 = 0 then null else c_custkey end as stanox,
                case when c_custkey % 5 = 0 then 'trx' else 'Tip' end || cast(c_custkey as string) as tiploc,
@@ -132,9 +132,9 @@ ROLES: dict[str, str] = {
                case when p_partkey % 41 = 0 then null else 'A' || cast(p_partkey % 30 as string) end as td, p_type as comment, p_name as stanme
         from {part}""",
     "in_stops": """
-        select '9100TIP' || cast(c_custkey as string) as atcocode, cast(50 + c_custkey % 8 as double) + 0.25 as latitude,
+        select case when c_custkey % 3 = 0 then '9100BUS' else '9100TIP' end || cast(c_custkey as string) as atcocode, cast(50 + c_custkey % 8 as double) + 0.25 as latitude,
                cast(c_custkey % 6 as double) - 4.5 as longitude, c_custkey * 100 as easting, c_custkey * 50 as northing, 'RLY' as stoptype
-        from {customer} where c_custkey % 3 <> 0""",
+        from {customer}""",
     "in_category": """
         select 'C' || cast(n_nationkey as string) as code, n_name as category, 'Region ' || cast(n_regionkey as string) as description
         from {nation}""",
@@ -152,7 +152,7 @@ ROLES: dict[str, str] = {
                '0000000', case c_custkey % 4 when 0 then 'JJ' when 1 then 'NP' when 2 then 'VV' else 'XX' end, 'S',
                'TIP' || cast(c_custkey % 100 as string), case when c_custkey % 9 = 0 then 'C' else 'P' end,
                timestamp '2024-02-01 02:00:00'
-        from {{customer}} where c_custkey % 2 = 1""",
+        from {{customer}} where c_mktsegment = 'BUILDING'""",
     # ---- star schema read by marts and queries ----------------------------------------
     "movement": """
         select cast(l_orderkey as string) as train_id, cast(l_orderkey as string) as schedule_id,
