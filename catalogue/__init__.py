@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scans", "scalars", "predicates", "products")
+MODULES = ("scans", "scalars", "predicates", "relational", "products", "streams")
 
 
 def load_all() -> None:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.models import RUN_TS
@@ -11,6 +13,8 @@ from catalogue.models_sql import DAYS, RUN, UNKNOWN, flags, sk
 from catalogue.registry import query
 from railmill.operators.dedup import first_k
 from railmill.plans import core, intermediate, live, marts, performance, timetable
+from railmill.plans.daily import run_daily
+from railmill.session import shared_dir
 
 DAY = dt.date(2024, 1, 10)  # a Wednesday
 RUNS = "date '2024-01-10' between schedule_start_date and schedule_end_date and wednes_service"
@@ -671,6 +675,51 @@ def _(t):
     return live.combined_board(live.live_board(states), live.snapshot_board(snapshot, t.role("toc")))
 
 
+DAILY_COUNTS = {
+    "rail_schedule_raw": "select (select count(*) from in_schedule) + (select count(*) from in_association) + (select count(*) from in_tiploc)",
+    "stg_activation": "select count(distinct train_id) from in_activation where ingest_ts >= timestamp '2024-02-02'",
+    "stg_movement": "select count(*) from (select distinct train_id, loc_stanox, actual_timestamp from in_movement where ingest_ts >= timestamp '2024-02-02')",
+    "stg_describer": "select count(*) from (select distinct area_id, event_ts, from_berth, to_berth, descr from in_describer)",
+    "stg_schedule": "select count(*) from (select distinct train_uid, start_date, end_date, stp from in_schedule)",
+    "stg_association": "select count(distinct k) from in_association",
+    "stg_tiploc": "select count(distinct tiploc_code) from in_tiploc",
+    "dim_location": "select count(*) from dim_location",
+    "dim_geo": "select count(*) from dim_geo",
+    "dim_toc": "select count(*) from dim_toc",
+    "dim_area": "select count(*) from dim_area",
+    "dim_signal_berth": "select count(*) from dim_signal_berth",
+    "dim_train_schedule": "select count(*) from (select distinct train_uid, start_date, end_date, stp from in_schedule)",
+    "dim_train_association": "select count(distinct k) from in_association",
+    "bridge_signal_berth_to_location": "select count(*) from dim_signal_berth b join dim_location l on b.station_id = l.station_id",
+    "fact_train_activation": """select count(*) from (select distinct on (train_id) * from in_activation where ingest_ts >= timestamp '2024-02-02') a
+        left join dim_toc t on a.toc_id = t.toc_operating_code""",
+}
+
+
+@query(
+    "p40_daily_run",
+    " union all ".join(f"select '{name}' as table_name, ({sql}) as stored_rows" for name, sql in DAILY_COUNTS.items()),
+    ("in_schedule", "in_association", "in_tiploc", "in_activation", "in_movement", "in_describer", "dim_location", "dim_geo", "dim_toc", "dim_area", "dim_signal_berth"),
+)
+def _(t):
+    m = t.models
+    warehouse = shared_dir(t.spark, "daily")
+    dump = shared_dir(t.spark, "dump")
+    m.dump_lines.select("value").write.option("compression", "gzip").text(dump)
+    feeds = {"activation": m.activation_clean, "movement": m.movement_clean, "describer": m.describer_clean.withColumn("ingest_ts", F.lit(RUN_TS))}
+    seeds = {
+        "toc": m.toc_seed, "td_area": m.area_seed, "trust_corpus": m.corpus_seed, "td_smart": m.smart_seed,
+        "stops": m.stops_seed, "train_category": m.category_seed,
+    }
+    paths = run_daily(t.spark, warehouse, feeds, seeds, RUN_TS, dump)
+    paths["rail_schedule_raw"] = f"{warehouse}/raw/rail_schedule_raw"
+    counts = [
+        t.spark.read.parquet(paths[name]).agg(F.count("*").alias("stored_rows")).select(F.lit(name).alias("table_name"), "stored_rows")
+        for name in DAILY_COUNTS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     "p41_associated_routes",
     f"""with {STOP_ROWS}, links as (select distinct assoc_train_uid, associated_type, assoc_location from association

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railmill.functions.labels import DAY_FLAGS, PARQUET_ROWS_PER_FILE
 from railmill.operators.aggregates import PAGE_ROWS, ordered_pages
 from railmill.operators.joins import upsert
+from railmill.session import shared_dir
 
 DAY = "ingest_date"
 
@@ -79,11 +80,15 @@ def merge_days(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
     Only days that hold a matching key, or receive a row, are rewritten: the cost follows
     the touched days, not the table. The list of days is all that reaches the driver.
     A rerun with the same updates gives the same table, so a lost run is simply repeated.
+    The updates are stored first, because several steps read them.
     """
     new = with_ingest_date(updates, ts)
     if not path_exists(spark, path):
         new.write.mode("overwrite").partitionBy(DAY).parquet(path)
         return
+    staged = shared_dir(spark, "merge")
+    new.write.parquet(staged)
+    new = spark.read.schema(new.schema).parquet(staged)
     table = spark.read.schema(new.schema).parquet(path)
     hit = table.join(new.select(*keys), keys, "left_semi").select(DAY)
     old_days = {row[0] for row in hit.distinct().collect()}
