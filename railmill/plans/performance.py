@@ -18,8 +18,12 @@ METRICS = [
     "sum_delay_mins", "total_events", "total_departures", "total_arrivals", "on_time_events",
     "slight_delay_events", "delay_events", "major_delay_events",
 ]
-STATION = ["station_id", "location_name", "service_date"]
+STATION = ["station_id", "location_name", "_day"]
 WORST_EVENTS = 5
+NO_DAY = -(2**31)
+
+
+PERFORMANCE = ["station_id", "location_name", "service_date", *METRICS, "pct_on_time", "avg_delay_mins"]
 
 
 def _counted(movements: DataFrame, place: list[str]) -> DataFrame:
@@ -31,7 +35,11 @@ def _counted(movements: DataFrame, place: list[str]) -> DataFrame:
 
 def _station_counts(movements: DataFrame, locations: DataFrame, tocs: DataFrame) -> DataFrame:
     counted = _counted(movements, ["location_id", "toc_id"])
-    places = locations.filter(F.col("location_name").isNotNull()).select("location_id", "station_id", "location_name")
+    # dim_location holds no place without a station; the day as a number: a missing one is a plain key, so totals and worst events, both
+    # shuffled by these keys, join without another shuffle
+    counted = counted.withColumn("_day", F.coalesce(F.unix_date("service_date"), F.lit(NO_DAY)))
+    named = F.col("location_name").isNotNull() & F.col("station_id").isNotNull()
+    places = locations.filter(named).select("location_id", "station_id", "location_name")
     return counted.join(places, "location_id").join(tocs.select("toc_id", "toc_name"), "toc_id", "left")
 
 
@@ -46,6 +54,11 @@ def _station_totals(counted: DataFrame) -> DataFrame:
     )
 
 
+def _with_date(df: DataFrame) -> DataFrame:
+    day = F.when(F.col("_day") != NO_DAY, F.date_from_unix_date("_day"))
+    return df.withColumn("service_date", day).select(*PERFORMANCE, *[c for c in df.columns if c in ("toc", "delay")])
+
+
 def _worst_events(counted: DataFrame) -> DataFrame:
     """The worst events per station and day, one row each.
 
@@ -62,16 +75,13 @@ def _worst_events(counted: DataFrame) -> DataFrame:
 
 def station_totals(movements: DataFrame, locations: DataFrame, tocs: DataFrame) -> DataFrame:
     """Delay metrics per station and service day, one row each."""
-    return _station_totals(_station_counts(movements, locations, tocs))
+    return _with_date(_station_totals(_station_counts(movements, locations, tocs)))
 
 
 def station_performance(movements: DataFrame, locations: DataFrame, tocs: DataFrame) -> DataFrame:
     """Delay metrics per station and day, repeated for each of its five worst events."""
     counted = _station_counts(movements, locations, tocs)
-    totals = _station_totals(counted).alias("t")
-    worst = _worst_events(counted).alias("w")
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in STATION]
-    return totals.join(worst, same).select("t.*", "w.toc", "w.delay")
+    return _with_date(_station_totals(counted).join(_worst_events(counted), STATION))
 
 
 def route_performance(movements: DataFrame, schedules: DataFrame, routes: DataFrame) -> DataFrame:
