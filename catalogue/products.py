@@ -355,7 +355,8 @@ DELAY = """
             n.station_id as next_location_id, n.location_name as next_location_name, s.location_type_desc, m.event_type, m.timetable_variation,
             case when m.timetable_variation <= 0 then 'on_time' when m.timetable_variation <= 5 then 'slight_delay'
                  when m.timetable_variation <= 10 then 'delay' else 'major_delay' end as delay_category, m.next_report_run_time
-        from stop s join movement m on m.schedule_id = s.schedule_id and m.location_id = s.location_id
+        from (select distinct schedule_id, location_id, location_type_desc from stop) s
+        join movement m on m.schedule_id = s.schedule_id and m.location_id = s.location_id
         left join schedule d on m.schedule_id = d.schedule_id left join routes r on d.train_uid = r.train_uid
         left join location l on m.location_id = l.location_id left join location n on m.next_location_id = n.location_id
         left join toc t on m.toc_id = t.toc_id where m.actual_timestamp is not null)

@@ -10,7 +10,7 @@ from catalogue.registry import query
 from railmill import functions as fn
 from railmill.functions.labels import DELAY_BUCKETS
 from railmill.operators import aggregates, arrays, dedup, filters, joins
-from railmill.plans import core, live, marts
+from railmill.plans import core, live
 
 C = F.col
 UNKNOWN = "md5('Unknown')"
@@ -33,7 +33,8 @@ FOUR = "a.train_uid = s.train_uid and cast(a.schedule_start_date as date) = s.sc
 
 @query(
     "e02_four_key_left_join",
-    f"select a.train_id, cast(a.ingest_ts as varchar) as ingest_ts, s.schedule_id from in_activation a left join schedule s on {FOUR}",
+    f"""with one as (select * from schedule qualify row_number() over (partition by train_uid, schedule_start_date, schedule_end_date, stp_indicator order by schedule_id) = 1)
+        select a.train_id, cast(a.ingest_ts as varchar) as ingest_ts, s.schedule_id from in_activation a left join one s on {FOUR}""",
     ("in_activation", "schedule"),
 )
 def _(t):
@@ -41,7 +42,8 @@ def _(t):
         {c: fn.strict_cast(C(c), "date") for c in ("schedule_start_date", "schedule_end_date")}
     )
     match = joins.equal_on("a", "s", core.SCHEDULE_MATCH)
-    joined = left.alias("a").join(t.role("schedule").alias("s"), match, "left")
+    one = dedup.first_k(t.role("schedule"), [b for _, b in core.SCHEDULE_MATCH], ["schedule_id"], 1)
+    joined = left.alias("a").join(one.alias("s"), match, "left")
     return joined.select("a.train_id", "a.ingest_ts", "s.schedule_id")
 
 
@@ -218,14 +220,16 @@ def _(t):
 
 @query(
     "e15_two_key_left_join",
-    """select m.train_id, m.price, s.loc_offset from movement m left join stop s on m.schedule_id = s.schedule_id and m.location_id = s.location_id
-        where s.loc_offset is not null""",
-    ("movement", "stop"),
+    """with one as (select schedule_id, train_uid, stp_indicator from schedule qualify row_number() over (partition by train_uid order by schedule_id) = 1)
+        select s.schedule_id, s.train_uid, o.stp_indicator from schedule s left join one o on s.schedule_id = o.schedule_id and s.train_uid = o.train_uid
+        where o.stp_indicator is not null""",
+    ("schedule",),
 )
 def _(t):
-    stops = t.role("stop").select("schedule_id", "location_id", C("loc_offset").alias("offset"))
-    joined = t.role("movement").join(stops, ["schedule_id", "location_id"], "left").filter(C("offset").isNotNull())
-    return joined.select("train_id", "price", C("offset").alias("loc_offset"))
+    schedules = t.role("schedule").select("schedule_id", "train_uid", "stp_indicator")
+    one = dedup.first_k(schedules, ["train_uid"], ["schedule_id"], 1)
+    joined = schedules.select("schedule_id", "train_uid").join(one, ["schedule_id", "train_uid"], "left")
+    return joined.filter(C("stp_indicator").isNotNull())
 
 
 # ---- F: aggregates -----------------------------------------------------------------------------

@@ -30,7 +30,7 @@ class Stream:
         self._tables = tables
         self._name = name
         schema = getattr(tables, name).schema
-        frame = tables.spark.readStream.schema(schema).parquet(f"{tables.sf_dir}/{name}*.parquet")
+        frame = tables.spark.readStream.schema(schema).parquet(f"{tables.sf_dir}/{name}.parque[t]")
         setattr(self, name, frame)
 
     def role(self, name: str):

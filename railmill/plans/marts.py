@@ -41,7 +41,7 @@ def train_status(movements: DataFrame) -> DataFrame:
 
 def planned_positions(status: DataFrame, stops: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Latest events at planned stops with the planned instant of the stop."""
-    planned = stops.select("schedule_id", "location_id", *TIMES, "platform", "line")
+    planned = stops.select("schedule_id", "location_id", *TIMES, "platform", "line").distinct()
     at_stop = status.filter(F.col("train_id").isNotNull()).join(planned, ["schedule_id", "location_id"])
     day = F.coalesce(F.to_date("actual_timestamp"), F.lit(as_of.date()))
     return at_stop.withColumn("scheduled_event_timestamp", at_time_of_day(day, *[F.col(c) for c in TIMES]))
