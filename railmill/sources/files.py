@@ -27,11 +27,19 @@ def tagged_records(lines: DataFrame, ingest_ts: Column | dt.datetime) -> DataFra
     )
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spreads rows over all cores where a few files that cannot be split feed fewer tasks.
+
+    Meant for input whose rows are costly to parse. Input that already feeds every core
+    is left as it is, without a shuffle.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_tagged_dump(spark: SparkSession, path: str, ingest_ts: dt.datetime, partitions: int | None = None) -> DataFrame:
     """Tagged NDJSON files. A gzip file is read by one task, so its lines are spread at once."""
-    lines = spark.read.text(path)
-    spread = partitions or spark.sparkContext.defaultParallelism
-    return tagged_records(lines.repartition(spread), ingest_ts)
+    return tagged_records(spread(spark.read.text(path), partitions), ingest_ts)
 
 
 def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
