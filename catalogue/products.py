@@ -441,6 +441,17 @@ def _(t):
     return meta.select("train_uid", "train_signalling_id", F.concat_ws("|", "stops").alias("stops"))
 
 
+@query(
+    "p30_timetable_rows",
+    f"""with {STOP_ROWS} select {ROUTE}, cast(0 as bigint) as page, cast(row_number() over (partition by {ROUTE} order by {ORDERED}) - 1 as integer) as stop_no,
+        location_name as station, coalesce(platform, '--') as platform, location_type_desc as type, coalesce(arr_pub, '--') as arr_public,
+        coalesce(dep_pub, '--') as dep_public, '--' as arr_timetable, '--' as dep_timetable, coalesce(pass_wtt, '--') as pass_timetable from rows""",
+    ("stop", "schedule", "geo", "toc"),
+)
+def _(t):
+    return timetable.timetable_rows(timetable.route_meta(stop_rows(t)))
+
+
 @query(
     "p31_associations",
     """select distinct assoc_train_uid, associated_type, assoc_location from association
@@ -646,6 +657,36 @@ def _(t):
     return performance.worst_contributors(route_perf(t), ["train_uid", "route_desc", "sum_delay_mins"], "sum_delay_mins")
 
 
+@query(
+    "p38_route_headline",
+    f"""with {ROUTES}, {ROUTE_PERF} select cast(sum(total_events) as bigint) as total_events, cast(sum(sum_delay_mins) as bigint) as total_delay from route_perf""",
+    ROUTE_TABLES,
+)
+def _(t):
+    return performance.headline_figures(route_perf(t))
+
+
+@query(
+    "p38_route_distribution",
+    f"""with {ROUTES}, {ROUTE_PERF}, top as (select * from route_perf order by service_date desc, sum_delay_mins desc nulls last, train_uid limit 1)
+        select 'On Time' as category, on_time_events as count from top union all select '1-5 min', slight_delay_events from top
+        union all select '6-10 min', delay_events from top union all select '>10 min', major_delay_events from top""",
+    ROUTE_TABLES,
+)
+def _(t):
+    return performance.delay_distribution(route_perf(t), ["train_uid"])
+
+
+@query(
+    "p38_worst_operators",
+    f"""with {STATION} select toc_name as toc, timetable_variation as delay from joined
+        qualify row_number() over (partition by station_id, location_name, service_date order by timetable_variation desc nulls last, toc_name nulls first) <= 5""",
+    STATION_TABLES,
+)
+def _(t):
+    return performance.worst_contributors(performance.station_performance(*station_inputs(t)), ["toc", "delay"], "delay")
+
+
 # ---- live ----------------------------------------------------------------------------------------
 
 

@@ -196,6 +196,16 @@ def _(t):
     return live.current_schedules(t.role("schedule"), ENRICH_DAY)
 
 
+@query(
+    "e12_first_running_schedule",
+    """select train_signalling_id, train_uid from schedule where date '2024-01-10' between schedule_start_date and schedule_end_date and wednes_service
+        qualify row_number() over (partition by train_signalling_id order by schedule_start_date desc, schedule_id) = 1""",
+    ("schedule",),
+)
+def _(t):
+    return live.current_schedules(t.role("schedule"), ENRICH_DAY, use_day_flags=True)
+
+
 @query(
     "e13_anti_join_append",
     """select o_custkey as c_custkey, 'live' as origin from (select distinct o_custkey from orders)
@@ -520,21 +530,20 @@ def _(t):
 
 @query(
     "i04_first_match_in_array",
-    """select l_orderkey, arg_min(l_linenumber, o) filter (l_suppkey % 2 = 0) as first_even, cast(min(o) filter (l_suppkey % 2 = 0) as bigint) as position
-        from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey) as o from lineitem) group by 1""",
+    """select l_orderkey, arg_min(l_linenumber, o) filter (l_returnflag = 'R') as first_returned, cast(min(o) filter (l_returnflag = 'R') as bigint) as position
+        from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey, l_returnflag) as o from lineitem) group by 1""",
 )
 def _(t):
     pages = aggregates.ordered_pages(
-        t.lineitem, ["l_orderkey"], ["l_linenumber"], ["l_linenumber", "l_suppkey", "l_partkey"]
+        t.lineitem, ["l_orderkey"], ["l_linenumber"], ["l_linenumber", "l_suppkey", "l_partkey", "l_returnflag"]
     )
 
-    def even(s):
-        return s["l_suppkey"] % 2 == 0
+    def returned(s):
+        return s["l_returnflag"] == "R"
 
-    first = arrays.first_match(C("items"), even)
-    position = F.nullif(F.array_position(F.transform("items", even), True), F.lit(0))
-    found = pages.select("l_orderkey", first["l_linenumber"].alias("first_even"), position.alias("position"))
-    return found
+    first = arrays.first_match(C("items"), returned)
+    position = F.nullif(F.array_position(F.transform("items", returned), True), F.lit(0))
+    return pages.select("l_orderkey", first["l_linenumber"].alias("first_returned"), position.alias("position"))
 
 
 # ---- J: unions -----------------------------------------------------------------------------------------

@@ -28,15 +28,18 @@ def first_k(df: DataFrame, keys, order, k: int, rank_as: str | None = None) -> D
     return kept if rank_as else kept.drop(name)
 
 
-def keep_first(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the first in ``order``; ties go to the greatest remaining columns."""
-    named = {c for c in keys if isinstance(c, str)}
-    return first_k(df, keys, [*_as_columns(order), *remaining_order(df, named)], 1)
+def keep_first(df: DataFrame, keys, order, ordered_by: set[str] = frozenset()) -> DataFrame:
+    """One row per key: the first in ``order``; ties go to the greatest remaining columns.
+
+    ``ordered_by`` names the columns ``order`` has dealt with already.
+    """
+    used = {c for c in keys if isinstance(c, str)} | ordered_by
+    return first_k(df, keys, [*_as_columns(order), *remaining_order(df, used)], 1)
 
 
 def keep_latest(df: DataFrame, keys, by: str = "ingest_ts") -> DataFrame:
     """One row per key: the one with the greatest ``by``."""
-    return keep_first(df, keys, [F.col(by).desc_nulls_last()])
+    return keep_first(df, keys, [F.col(by).desc_nulls_last()], {by})
 
 
 def keep_any(df: DataFrame, keys, newest: str = "ingest_ts") -> DataFrame:
@@ -45,7 +48,7 @@ def keep_any(df: DataFrame, keys, newest: str = "ingest_ts") -> DataFrame:
     Repeatable all the same: the newest row wins, then the greatest remaining columns.
     """
     order = [F.col(newest).desc_nulls_last()] if newest in df.columns else []
-    return keep_first(df, keys, order)
+    return keep_first(df, keys, order, {newest})
 
 
 def keep_by_priority(df: DataFrame, keys, source: str, ranking: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="railmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="railmill-")
