@@ -1,7 +1,8 @@
 """Staging models: typed, deduplicated, keyed rows of every input.
 
-``run_date`` limits a model to the partition of that day; without it the whole input is
-read. Nothing reads the clock.
+``run_date`` limits a model to the partition of that day (``lookback_days`` adds the days
+before it for late rows that are merged); without it the whole input is read. Nothing
+reads the clock.
 """
 
 from __future__ import annotations
@@ -36,17 +37,20 @@ MOVEMENT_COLUMNS = [
 ]
 
 
-def _of_day(df: DataFrame, run_date: dt.date | None) -> DataFrame:
+def _of_days(df: DataFrame, run_date: dt.date | None, lookback_days: int = 0) -> DataFrame:
+    """Rows that arrived on the run day or up to ``lookback_days`` before it."""
     if run_date is None:
         return df
+    first = run_date - dt.timedelta(days=lookback_days)
     if "ingest_date" in df.columns:
-        return df.filter(F.col("ingest_date") == F.lit(run_date))
-    midnight = dt.datetime.combine(run_date, dt.time())
-    return df.filter((F.col("ingest_ts") >= F.lit(midnight)) & (F.col("ingest_ts") < F.lit(midnight + dt.timedelta(days=1))))
+        return df.filter(F.col("ingest_date").between(F.lit(first), F.lit(run_date)))
+    start = dt.datetime.combine(first, dt.time())
+    end = dt.datetime.combine(run_date, dt.time()) + dt.timedelta(days=1)
+    return df.filter((F.col("ingest_ts") >= F.lit(start)) & (F.col("ingest_ts") < F.lit(end)))
 
 
-def activation(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:
-    rows = keep_any(_of_day(raw, run_date), ACTIVATION_DEDUP)
+def activation(raw: DataFrame, run_date: dt.date | None = None, lookback_days: int = 0) -> DataFrame:
+    rows = keep_any(_of_days(raw, run_date, lookback_days), ACTIVATION_DEDUP)
     typed = {
         "schedule_start_date": strict_cast(F.col("schedule_start_date"), "date"),
         "schedule_end_date": strict_cast(F.col("schedule_end_date"), "date"),
@@ -57,13 +61,15 @@ def activation(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:
     return keyed.withColumns(typed).select("activation_id", "ingest_ts", *others)
 
 
-def movement(raw: DataFrame, run_date: dt.date | None = None, dedup_keys: list[str] | None = None) -> DataFrame:
+def movement(
+    raw: DataFrame, run_date: dt.date | None = None, dedup_keys: list[str] | None = None, lookback_days: int = 0
+) -> DataFrame:
     """Movements, one per train, place and instant.
 
     The event type is not part of that key, so an arrival and a departure at the same
     instant fold into one; ``dedup_keys`` may name a finer key.
     """
-    rows = keep_any(_of_day(raw, run_date), dedup_keys or MOVEMENT_DEDUP)
+    rows = keep_any(_of_days(raw, run_date, lookback_days), dedup_keys or MOVEMENT_DEDUP)
     typed = {
         **{c: safe_cast(F.col(c), "bigint") for c in MOVEMENT_NUMBERS},
         **{c: safe_cast(F.col(c), "boolean") for c in MOVEMENT_FLAGS},
@@ -76,7 +82,7 @@ def movement(raw: DataFrame, run_date: dt.date | None = None, dedup_keys: list[s
 def describer(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:
     """Berth steps, one per area, instant, berths and description."""
     identity = ["area_id", "event_ts", *[F.coalesce(F.col(c), F.lit("")) for c in ("from_berth", "to_berth", "descr")]]
-    rows = keep_any(_of_day(raw, run_date), identity)
+    rows = keep_any(_of_days(raw, run_date), identity)
     return rows.select(
         surrogate_key(*identity).alias("describer_id"),
         "msg_type",
@@ -91,7 +97,7 @@ def describer(raw: DataFrame, run_date: dt.date | None = None) -> DataFrame:
 
 
 def _payload(raw: DataFrame, kind: str, schema: str, run_date: dt.date | None) -> DataFrame:
-    rows = record_type(_of_day(raw, run_date), kind)
+    rows = record_type(_of_days(raw, run_date), kind)
     parsed = computed_once(rows.select("ingest_ts", "payload"), "p", F.from_json("payload", schema))
     return parsed.select("ingest_ts", "p.*")
 
