@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from railmill.llm import digest_index, neardup, url_filter
+from railmill.llm import digest_index, langid, mixing, neardup, quality, toxicity, url_filter
 from railmill.llm.common import Scratch, partitions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +74,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+@query("op3_source_mix")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mixture(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, ceiling=2.0).per_document()
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op9_exact_dedup",
     """

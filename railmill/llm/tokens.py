@@ -29,10 +29,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_CODES = mix(np.arange(1, 257, dtype=U64) * U64(_P))
+CODES = mix(np.arange(1, 257, dtype=U64) * U64(_P))
 _FOLD = np.arange(256)
 _FOLD[65:91] += 32  # A-Z
-FOLDED_CODES = _CODES[_FOLD]
+FOLDED_CODES = CODES[_FOLD]
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
