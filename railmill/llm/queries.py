@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmill.llm import digest_index, langid, mixing, neardup, quality, toxicity, url_filter
+from railmill.llm import digest_index, langid, mixing, neardup, quality, sentencepieces, toxicity, url_filter
 from railmill.llm.common import Scratch, partitions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "digests")
     index = digest_index.DigestIndex(spark, f"{scratch.path}/index", buckets=partitions(spark))
     return digest_index.dedup_exact(table(spark, sf_dir, "documents"), index, scratch)
+
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepieces.load_vocabulary(VOCABULARY)
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), vocabulary)
