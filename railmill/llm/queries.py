@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmill.llm import digest_index, langid, mixing, neardup, quality, sentencepieces, toxicity, url_filter
+from railmill.llm import digest_index, langid, mixing, mtree, neardup, quality, sentencepieces, toxicity, url_filter
 from railmill.llm.common import Scratch, partitions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+@query(
+    "op6_exact_top_k",
+    """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id
+    where q.vec_id % 100 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from scored
+qualify rank <= 10
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 @query("op7_language_id")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(table(spark, sf_dir, "documents"))
