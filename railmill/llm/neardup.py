@@ -5,9 +5,13 @@ offers each slot the value ``rank + fraction``. Small ranks win, so an element n
 followed down its permutation until every slot holds a value below the next rank; the slots of
 one set are spread without replacement, which lowers the variance against plain MinHash.
 
-Pairs that agree on all values of a band are candidates; each is confirmed on the full shingle
-sets, so every link is exact. A pair at the threshold is missed only if none of the bands agrees:
-with 24 bands of 5 at a similarity of 0.85 fewer than 1 in 1,000,000.
+Documents that agree on all values of a band share a bucket. Every bucket compares its members
+with one centre on the full shingle sets, which costs one comparison a member, and keeps the
+difference of each set to the centre's. Two members that the centre does not join can be linked
+only if their differences share elements that are early in both; a join on those finds every
+further link without listing the pairs of a bucket. So links are exact, and among documents that
+share a bucket none is lost. A pair at the threshold misses all buckets with a probability below
+1 in 1,000,000 (24 bands of 5 at a similarity of 0.85).
 """
 
 from __future__ import annotations
@@ -16,18 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railmill.llm.common import Scratch, partitions
-from railmill.llm.grouping import group
+from railmill.llm.grouping import components
 from railmill.llm.tokens import U64, as_long, blocks, mix, segment_sums, shingle_sets
 
-SLOTS = 128
 BANDS, BAND_ROWS = 24, 5
-# Fraction of one-bit sketch positions (of SLOTS) in which a linked pair may differ. At a similarity
-# of 0.8 a position differs with probability 0.1; 34 of 128 is more than 6 standard deviations above.
-SKETCH_BITS = 34
+SLOTS = BANDS * BAND_ROWS
 # Shingles one salted share of a centre's members may hold before the next share begins.
 SHARE_SHINGLES = 1 << 16
 _RANK = U64(40)
@@ -97,7 +98,6 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
         for block in blocks(batch.column(1)):
             sets, bounds = shingle_sets(block, size)
             signature = super_minhash(sets, bounds)
-            low = np.packbits((signature & U64(1)).astype(np.uint8), axis=1).view(np.int64)
             digests = [as_long(segment_sums(mix(sets ^ U64(salt)), bounds)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
             keys = as_long(band_keys(signature, bands, rows)).reshape(-1)
             offsets = np.arange(block.rows + 1, dtype=np.int32) * bands
@@ -106,65 +106,65 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
                     ids.slice(block.first, block.rows),
                     pa.array(np.diff(bounds).astype(np.int64)),
                     *[pa.array(d) for d in digests],
-                    *[pa.array(np.ascontiguousarray(c)) for c in low.T],
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", "s1", "s2", "bands"],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
             )
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """Per document the size of its shingle set, a 128-bit digest of it, a one-bit sketch and band keys."""
+    """Per document the size of its shingle set, a 128-bit digest of it and band keys."""
     return docs.select("doc_id", "text").mapInArrow(
         lambda batches: _signed(batches, shingle, bands, rows),
-        "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, s1 bigint, s2 bigint, bands array<bigint>",
+        "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>",
     )
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if not len(small):
-        return 0
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    return int(np.count_nonzero(large[at] == small))
-
-
-def _confirmed(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Rows arrive by (centre, share) with the centre's text first: only its set is held."""
-    group_of, centres = None, []
+    group_of, head = None, None
     for batch in batches:
         centre, share, role, node = (batch.column(i).to_numpy() for i in range(4))
-        found_a, found_b = [], []
         for block in blocks(batch.column(4)):
             sets, bounds = shingle_sets(block, size)
+            rows, numbers, linked, diffs = [], [], [], []
             for i in range(block.rows):
                 at = block.first + i
                 own = sets[bounds[i] : bounds[i + 1]]
-                if group_of != (centre[at], share[at]):
-                    group_of, centres = (centre[at], share[at]), []
                 if role[at] == 0:
-                    centres.append(own.copy())
+                    if group_of != (centre[at], share[at]):
+                        group_of, head = (centre[at], share[at]), own.copy()
                     continue
-                for other in centres:
-                    common = _common(own, other)
-                    if common and 100 * common >= percent * (len(own) + len(other) - common):
-                        found_a.append(node[at])
-                        found_b.append(centre[at])
-                        break
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
-        )
+                diff = np.setxor1d(own, head, assume_unique=True)
+                total = len(own) + len(head)
+                rows.append(at)
+                numbers.append(len(own))
+                # intersection = (total - |diff|) / 2, union = (total + |diff|) / 2
+                linked.append(100 * (total - len(diff)) >= percent * (total + len(diff)))
+                diffs.append(diff)
+            offsets = np.concatenate(([0], np.cumsum([len(d) for d in diffs]))).astype(np.int32)
+            values = as_long(np.concatenate(diffs)) if diffs else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(node[rows], pa.int64()),
+                    pa.array(centre[rows], pa.int64()),
+                    pa.array(numbers, pa.int64()),
+                    pa.array(linked, pa.bool_()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ],
+                names=["a", "b", "n", "linked", "diff"],
+            )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough.
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs ``(a, b, n)`` with the size of a's set, whether they are linked, and how they differ.
 
     The members of a centre are dealt over shares of bounded size, each with a copy of the
     centre's text, so a hot centre is spread over many tasks. Texts no pair needs stop at the
     first join.
     """
     spark = pairs.sparkSession
-    weights = pairs.groupBy("b").agg(F.ceil(F.sum("sketch_a.n") / F.lit(SHARE_SHINGLES)).alias("shares"))
+    weights = pairs.groupBy("b").agg(F.ceil(F.sum("n") / F.lit(SHARE_SHINGLES)).alias("shares"))
     weights = scratch.keep(weights, "shares")
     members = pairs.join(weights, "b").select(
         F.col("b").alias("centre"),
@@ -183,19 +183,77 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scrat
         needed.select("centre", "share", "role", "node", "text")
         .repartition(partitions(spark), "centre", "share")
         .sortWithinPartitions("centre", "share", "role")
-        .mapInArrow(lambda batches: _confirmed(batches, size, percent), "a bigint, b bigint")
+        .mapInArrow(
+            lambda batches: _compared(batches, size, percent),
+            "a bigint, b bigint, n bigint, linked boolean, diff array<bigint>",
+        )
     )
 
 
-def _sketches_agree(percent: int, bits: int):
-    """Sizes that allow the similarity, and one-bit sketches that make it plausible."""
+def _further_links(compared: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links between members of one centre that lie in different groups so far.
 
-    def maybe(a: str, b: str) -> Column:
-        x, y = F.col(a), F.col(b)
-        differing = F.bit_count(x["s1"].bitwiseXOR(y["s1"])) + F.bit_count(x["s2"].bitwiseXOR(y["s2"]))
-        return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent) & (differing <= bits)
-
-    return maybe
+    Let D(x) be the difference of x to the centre. Then the difference of x and y is that of D(x)
+    and D(y), and they are linked if it has at most ``t = (1 - s) / (1 + s) * (|x| + |y|)``
+    elements for similarity s. If D(x) and D(y) share nothing, that makes both linked to the centre.
+    Otherwise take any order of elements, and the first one they share: it comes after at most
+    ``|D(x) - D(y)| <= (t + |D(x)| - |D(y)|) / 2`` elements of D(x), and likewise of D(y). Rare
+    elements first keeps the lists short that such a prefix can meet in.
+    """
+    s = percent / 100
+    per_pair, alone = (1 - s) / (1 + s), (1 - s) / s
+    label = labels.select(F.col("node").alias("a"), "label")
+    placed = compared.join(label, "a", "left").withColumn("label", F.coalesce("label", "a"))
+    heads = compared.select("b").distinct().join(labels.select(F.col("node").alias("b"), "label"), "b", "left")
+    known = placed.select("b", "label").unionByName(heads.select("b", F.coalesce("label", "b").alias("label")))
+    mixed = known.groupBy("b").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    mixed = scratch.keep(mixed.select("b"), "mixed")
+    members = scratch.keep(
+        placed.join(mixed, "b").select("b", "a", "n", "label", F.size("diff").alias("d"), "diff"), "open"
+    )
+    elements = members.select("b", "a", F.explode("diff").alias("element"))
+    often = scratch.keep(elements.groupBy("b", "element").agg(F.count("*").alias("often")), "elements")
+    ranked = elements.join(often, ["b", "element"]).groupBy("b", "a").agg(
+        F.sort_array(F.collect_list(F.struct("often", "element"))).alias("ranked")
+    )
+    prefix = F.slice("ranked", 1, F.floor(F.col("n") * alone + 1e-6).cast("int") + 1)
+    heads = members.select("b", "a", "n", "label", "d").join(ranked, ["b", "a"])
+    heads = heads.select("b", "a", "n", "label", "d", F.posexplode(prefix).alias("at", "item"))
+    heads = scratch.keep(heads.filter("item.often > 1").select("*", "item.element").drop("item"), "prefixes")
+    x, y = heads.alias("x"), heads.alias("y")
+    limit = (F.col("x.n") + F.col("y.n")) * per_pair + 1e-6
+    meet = x.join(
+        y,
+        (F.col("x.b") == F.col("y.b"))
+        & (F.col("x.element") == F.col("y.element"))
+        & (F.col("x.a") < F.col("y.a"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.col("x.at") * 2 <= limit + F.col("x.d") - F.col("y.d"))
+        & (F.col("y.at") * 2 <= limit + F.col("y.d") - F.col("x.d")),
+    )
+    pairs = scratch.keep(meet.select("x.b", F.col("x.a").alias("a"), F.col("y.a").alias("c")).distinct(), "meet")
+    left = members.select("b", "a", F.col("n").alias("n_a"), F.col("diff").alias("diff_a"))
+    right = members.select("b", F.col("a").alias("c"), F.col("n").alias("n_c"), F.col("diff").alias("diff_c"))
+    both = pairs.join(left, ["b", "a"]).join(right, ["b", "c"])
+    common = F.size(F.array_intersect("diff_a", "diff_c"))
+    apart = F.size("diff_a") + F.size("diff_c") - 2 * common
+    total = F.col("n_a") + F.col("n_c")
+    return both.filter((total - apart) * 100 >= (total + apart) * percent).select("a", F.col("c").alias("b"))
+
+
+def _groups(buckets: DataFrame, texts: DataFrame, known: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``(node, label)`` of all nodes with links; ``buckets`` has (key, node, n), ``known`` more links."""
+    shared = buckets.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last")
+    shared = scratch.keep(shared.select("key", "b"), "shared")
+    members = buckets.join(shared, "key").filter("node <> b")
+    pairs = scratch.keep(members.groupBy(F.col("node").alias("a"), "b").agg(F.max("n").alias("n")), "pairs")
+    compared = scratch.keep(_compare(pairs, texts, size, percent, scratch), "compared")
+    links = scratch.keep(compared.filter("linked").select("a", "b").unionByName(known), "links")
+    labels = scratch.keep(components(links, scratch), "labels")
+    more = scratch.keep(_further_links(compared, labels, percent, scratch), "more")
+    if more.isEmpty():
+        return labels
+    return components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), scratch)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -213,7 +271,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     table gives an empty result.
 
     Copies of one set are represented by their smallest doc_id, so thousands of exact copies cost
-    one comparison. The rest goes through ``grouping.group``.
+    one comparison.
     """
     scratch = Scratch(docs.sparkSession, "neardup")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -221,27 +279,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
     same_set = scratch.keep(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "sets")
     first = signed.withColumnRenamed("doc_id", "node").join(same_set, ["d1", "d2", "node"], "left_semi")
-    sketches = scratch.keep(
-        first.select("node", F.struct(F.col("n_shingles").alias("n"), "s1", "s2").alias("sketch")).distinct(), "sketches"
-    )
-    buckets = first.select(F.explode("bands").alias("key"), "node")
+    buckets = first.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
     # a doc_id whose rows hold different texts joins the sets of all of them
     stands_for = filled.select("d1", "d2", "doc_id").join(same_set, ["d1", "d2"]).filter("doc_id <> node")
     several = filled.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).filter("x <> y")
     bridges = stands_for.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    bridges = scratch.keep(bridges, "bridges")
-
-    labels = scratch.keep(
-        group(
-            buckets,
-            sketches,
-            _sketches_agree(percent, SKETCH_BITS),
-            lambda pairs: _verified(pairs, texts, shingle, percent, scratch),
-            scratch,
-            bridges,
-        ),
-        "groups",
-    )
+    labels = scratch.keep(_groups(buckets, texts, bridges, shingle, percent, scratch), "groups")
     of_set = same_set.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
     placed = signed.select("doc_id", "n_shingles", "d1", "d2").join(of_set, ["d1", "d2"], "left")
     has_set = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
