@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmill.llm import digest_index, langid, mixing, mtree, neardup, quality, sentencepieces, toxicity, url_filter
+from railmill.llm import digest_index, langid, linededup, mixing, mtree, neardup, quality, sentencepieces, toxicity, url_filter
 from railmill.llm.common import Scratch, partitions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(table(spark, sf_dir, "documents"))
 
 
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
+    return left.select("doc_id", "n_lines", "n_left", "emptied", digest)
+
+
 @query(
     "op9_exact_dedup",
     """

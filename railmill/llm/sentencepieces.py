@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railmill.llm.tokens import ranges
 
@@ -256,7 +257,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text: str = "text"
                 found = [None if t is None else encoder.encode(t) for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, _lists(found)], names=[*kept, ids])
 
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(ids, "array<int>")
+    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(ids, T.ArrayType(T.IntegerType()))
     return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(encoded, schema)
 
 
