@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from railmill.llm import digest_index, langid, linededup, mixing, mtree, neardup, quality, sentencepieces, toxicity, url_filter
 from railmill.llm.common import Scratch, partitions, table
 
@@ -143,10 +144,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.dedup_exact(table(spark, sf_dir, "documents"), index, scratch)
 
 
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-
-
 @query("op10_sentencepiece")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = sentencepieces.load_vocabulary(VOCABULARY)
+    vocabulary = sentencepieces.load_vocabulary(corpus_pipeline.VOCABULARY)
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
