@@ -126,11 +126,12 @@ def learn(docs: DataFrame, scratch: Scratch, per_lang: int = SAMPLE_PER_LANG) ->
     usable = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null and lang <> 'und'")
     usable = usable.filter(~held_out(F.col("doc_id")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = scratch.keep(usable.withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("doc_id", "lang"), "chosen")
+    chosen = usable.withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("doc_id", "lang").distinct()
+    chosen = scratch.keep(chosen, "chosen")
     langs = sorted(r["lang"] for r in chosen.select("lang").distinct().limit(MAX_LANGS + 1).collect())
     if len(langs) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
+    texts = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
     sample = scratch.keep(texts.select("lang", "text").mapInArrow(_sparse, "lang string, bucket array<int>, n array<int>"), "sample")
     sample = sample.filter(F.size("bucket") > 0)
     total = sample.count()

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from railmill.llm.common import Scratch, partitions
 from railmill.llm.tokens import Block, blocks, words
 
-# Sources whose totals may come to the driver and be broadcast: about 100 bytes each.
+# Sources whose totals may come to the driver: about 100 bytes each.
 MAX_SOURCES = 100_000
 BUCKET_DOCS = 1024
 _TOP_NODES = 64
@@ -169,15 +169,17 @@ class Mixture:
             bits = max(0, math.ceil(math.log2(s.docs / BUCKET_DOCS)))
             rows.append((sid, s.name, s.size, float(s.target), passes, rest, pass_blocks, quota, shift, inverse, bits))
             quotas.append(quota)
-        self.quotas = self.spark.createDataFrame(
+        quota_rows = self.spark.createDataFrame(
             rows,
             "sid long, source string, source_size long, target double, passes long, rest long, "
             "pass_blocks long, quota long, shift long, inverse long, bits int",
         )
+        # at most MAX_SOURCES rows; stored, so that Spark knows their size
+        self.quotas = self.scratch.keep(quota_rows.coalesce(1), "quotas")
         self.shards = max(1, -(-sum(quotas) * self.block_words // shard_words))
         leaves = self.scratch.keep(splitting_tree(self.spark, quotas, self.shards, self.seed), "leaves")
         drawn = leaves.withColumn("p", F.explode(F.expr("sequence(start, start + quota - 1)")))
-        rule = F.broadcast(self.quotas.select("sid", F.col("quota").alias("q"), "shift", "inverse", "pass_blocks"))
+        rule = self.quotas.select("sid", F.col("quota").alias("q"), "shift", "inverse", "pass_blocks")
         x = F.when(F.col("q") > 1, F.expr("pmod((p - shift) * inverse, q)")).otherwise(F.lit(0))
         self.blocks = (
             drawn.join(rule, "sid")
@@ -187,7 +189,7 @@ class Mixture:
 
     def _place(self, sized: DataFrame) -> DataFrame:
         """Adds to each document the words before it in its source's stream."""
-        rule = F.broadcast(self.quotas.withColumnRenamed("source", "_source"))
+        rule = self.quotas.withColumnRenamed("source", "_source")
         known = sized.join(rule, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         known = known.withColumn("bucket", F.expr("shiftright(h, 63 - bits)"))
         sums = self.scratch.keep(known.groupBy("sid", "bucket").agg(F.sum("size").alias("n")), "buckets")
@@ -254,7 +256,7 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     plan = copies.select(F.col("h").alias("_h"), F.col("doc_id").alias("_id"), F.col("sid").alias("_sid"), "nth", "_copies")
     plan = mixture.scratch.keep(plan.withColumn("_k", F.row_number().over(alike)).drop("nth"), "plan").alias("p")
 
-    sids = F.broadcast(mixture.quotas.select(F.col("sid").alias("_sid"), F.col("source").alias("_source")))
+    sids = mixture.quotas.select(F.col("sid").alias("_sid"), F.col("source").alias("_source"))
     own = docs.select(
         *columns, mixture.order_hash().alias("_h"), F.col("doc_id").cast("bigint").alias("_id")
     ).join(sids, F.col("source").cast("string").eqNullSafe(F.col("_source")))

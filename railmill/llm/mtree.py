@@ -238,7 +238,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0)
     radius, page_counts = np.full(number, -1.0), np.zeros(number, dtype=np.int64)
     for ball in balls:
         radius[ball["pivot"]], page_counts[ball["pivot"]] = ball["radius"], ball["pages"]
-    directory = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(page_counts)], "pivot bigint, pages bigint"))
+    directory = spark.createDataFrame([(i, int(n)) for i, n in enumerate(page_counts)], "pivot bigint, pages bigint")
+    directory = scratch.keep(directory.coalesce(1), "directory")
     pages = placed.join(directory, "pivot").select(
         "pivot", F.pmod(F.xxhash64("id", "v"), F.col("pages")).alias("page"), "id", "v"
     )

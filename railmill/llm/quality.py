@@ -155,7 +155,7 @@ def _model(docs: DataFrame, labels: DataFrame, sample_docs: int):
     """The broadcast model; without two classes to learn one that finds every text good."""
     scratch = Scratch(docs.sparkSession, "quality")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    folded = learn(labelled_sample(texts, labels, "quality", sample_docs), scratch)
+    folded = learn(labelled_sample(texts, labels, "quality", sample_docs, scratch), scratch)
     return docs.sparkSession.sparkContext.broadcast(np.append(np.zeros(1 << BITS), 50.0) if folded is None else folded)
 
 

@@ -216,17 +216,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int =
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_docs: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_docs: int, scratch: Scratch) -> DataFrame:
     """``(doc_id, text, label)`` of at most ``sample_docs`` labelled documents that are not held out.
 
-    The labels are sampled by hash before the texts are touched: at most ``sample_docs`` ids are
-    broadcast, so the documents are filtered where they are read. An id with several labels
+    The labels are sampled by hash before the texts are touched, and the sampled ids stored: with
+    their few bytes known, Spark broadcasts them and filters the documents where they are read. An id with several labels
     takes the smallest; one without a label, or null, is left out.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return docs.select("doc_id", "text").join(scratch.keep(chosen, "chosen"), "doc_id")
 
 
 def learn(sample: DataFrame, scratch: Scratch) -> Model | None:
@@ -297,7 +297,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "toxicity")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = learn(labelled_sample(texts, labels, "toxic", sample_docs), scratch)
+    model = learn(labelled_sample(texts, labels, "toxic", sample_docs, scratch), scratch)
     if model is None:
         nothing = Lexicon(np.zeros((LEVELS, 1 << BITS), np.float32), np.zeros((LEVELS, 1 << BITS), np.float32), 0.5)
         model = Model(nothing, 1.0, 0.0, np.array([-2.0, 1.0, 1.0]))
