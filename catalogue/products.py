@@ -271,9 +271,7 @@ def _(t):
 )
 def _(t):
     m = t.models
-    return core.fact_berth_events(
-        m.stg_describer, m.dim_area, m.dim_signal_berth, m.bridge_td, bounds=m.describer_clean
-    )
+    return core.fact_berth_events(m.stg_describer, m.dim_area, m.dim_signal_berth, m.bridge_td)
 
 
 @query(

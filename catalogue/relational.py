@@ -299,6 +299,39 @@ def _(t):
     return pages.select("l_orderkey", "page", F.concat_ws("|", text).alias("stops"))
 
 
+PAGED = """
+    select {key}, (o - 1) // {rows} as page, string_agg({text}, '|' order by o) as items
+    from (select *, row_number() over (partition by {key} order by {order}) as o from {table}) group by all"""
+
+
+@query(
+    "f05_ordered_array_in_pages",
+    PAGED.format(
+        key="l_returnflag", rows=500, text="l_orderkey || ':' || l_linenumber",
+        order="l_shipdate, l_orderkey, l_linenumber", table="lineitem",
+    ),
+)
+def _(t):
+    """Three keys, each far larger than a page."""
+    pages = aggregates.ordered_pages(
+        t.lineitem, ["l_returnflag"], ["l_shipdate"], ["l_orderkey", "l_linenumber"], page_rows=500
+    )
+    text = F.transform("items", lambda s: F.concat_ws(":", s["l_orderkey"], s["l_linenumber"]))
+    return pages.select("l_returnflag", "page", F.concat_ws("|", text).alias("items"))
+
+
+@query(
+    "f07_list_per_key_in_pages",
+    PAGED.format(
+        key="o_orderstatus", rows=300, text="o_orderkey || '/' || o_custkey", order="o_orderkey, o_custkey", table="orders"
+    ),
+)
+def _(t):
+    pages = aggregates.ordered_pages(t.orders, ["o_orderstatus"], ["o_orderkey"], ["o_orderkey", "o_custkey"], page_rows=300)
+    text = F.transform("items", lambda s: F.concat_ws("/", s["o_orderkey"], s["o_custkey"]))
+    return pages.select("o_orderstatus", "page", F.concat_ws("|", text).alias("items"))
+
+
 WORST = "timetable_variation desc nulls last, train_id, price"
 
 
@@ -542,8 +575,11 @@ def _(t):
         return s["l_returnflag"] == "R"
 
     first = arrays.first_match(C("items"), returned)
-    position = F.nullif(F.array_position(F.transform("items", returned), True), F.lit(0))
-    return pages.select("l_orderkey", first["l_linenumber"].alias("first_returned"), position.alias("position"))
+    at = F.nullif(F.array_position(F.transform("items", returned), True), F.lit(0)) + F.col("page") * aggregates.PAGE_ROWS
+    per_page = pages.select("l_orderkey", first["l_linenumber"].alias("number"), at.alias("at"))
+    return per_page.groupBy("l_orderkey").agg(
+        F.min_by("number", "at").alias("first_returned"), F.min("at").alias("position")
+    )
 
 
 # ---- J: unions -----------------------------------------------------------------------------------------
@@ -596,7 +632,7 @@ def _(t):
 
 @query(
     "k02_coordinates",
-    """select schedule_id, string_agg(longitude || ' ' || latitude, ',' order by loc_offset, s.location_id) as path
+    """select schedule_id, cast(0 as bigint) as page, string_agg(longitude || ' ' || latitude, ',' order by loc_offset, s.location_id) as path
         from stop s join geo g on s.location_id = g.location_id where latitude is not null group by 1""",
     ("stop", "geo"),
 )
@@ -605,7 +641,7 @@ def _(t):
     rows = t.role("stop").select("schedule_id", "location_id", "loc_offset").join(places, "location_id")
     pages = aggregates.ordered_pages(rows, ["schedule_id"], ["loc_offset"], ["location_id", "longitude", "latitude"])
     path = F.transform(arrays.coordinates(C("items")), lambda p: F.concat_ws(" ", p["longitude"], p["latitude"]))
-    return pages.select("schedule_id", F.concat_ws(",", path).alias("path"))
+    return pages.select("schedule_id", "page", F.concat_ws(",", path).alias("path"))
 
 
 @query(

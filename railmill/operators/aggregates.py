@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from railmill.operators.dedup import first_k
 
 # Largest array one row may carry; bigger groups come in several pages.
 PAGE_ROWS = 250_000
+# Rows one task numbers at a time, on average; bigger groups are cut at marked rows.
+RUN_ROWS = 250_000
 
 
 def count_when(condition: Column) -> Column:
@@ -43,54 +47,69 @@ def delay_metrics(minutes: Column, event_type: Column, weight: Column | None = N
 def latest_rows(df: DataFrame, key: str, ts: str) -> DataFrame:
     """All rows at the latest timestamp of their key; ties stay, null timestamps never match.
 
-    The maximum is combined before its shuffle, and the join back is on key and
-    timestamp, so the rows of a hot key are spread by their timestamps.
+    Spark applies ``rank = 1`` in every task before the shuffle, so a hot key sends its newest
+    rows per task and the table is read once.
+    """
+    rank = F.rank().over(Window.partitionBy(key).orderBy(F.desc(ts)))
+    known = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    return known.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def numbered(
+    df: DataFrame, keys: list[str], order: list[str], name: str = "position", run_rows: int = RUN_ROWS
+) -> DataFrame:
+    """Adds each row's 0-based place in its group by ``order``; null keys form a group like any other.
+
+    One row in ``run_rows``, chosen by a hash of its values, is a mark. The marks of a group, sorted,
+    cut it into runs; a row's place is its number within the run plus the sizes of the runs before.
+    All of this follows from the rows' values, so the result does not depend on how the rows are
+    partitioned, and no task has to hold or sort more than a run. Rows equal in keys and order
+    are interchangeable: give an ``order`` that tells rows apart.
     """
-    newest = df.filter(F.col(ts).isNotNull()).groupBy(key).agg(F.max(ts).alias(ts))
-    return df.join(newest, [key, ts], "left_semi")
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    slim = df.select(*keys, place.alias("_place"))
+    marks = (
+        slim.filter(F.pmod(F.xxhash64(*keys, "_place"), F.lit(run_rows)) == 0)
+        .groupBy(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)])
+        .agg(F.sort_array(F.collect_set("_place")).alias("_marks"))
+    )
+
+    def with_run(rows: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(keys)])
+        before = F.size(F.filter("_marks", lambda m: m <= F.col("_place")))
+        found = rows.join(marks, same, "left")
+        return found.withColumn("_run", F.when(F.col("_marks").isNull(), 0).otherwise(before))
+
+    # only groups that were cut have a run above 0
+    sizes = with_run(slim).filter(F.col("_marks").isNotNull()).groupBy(*keys, "_run").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
+        F.col("_run").alias("_of_run"),
+        F.sum("_n").over(earlier).alias("_start"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)])
+    rows = with_run(df.withColumn("_place", place)).join(starts, same & (F.col("_run") == F.col("_of_run")), "left")
+    number = F.row_number().over(Window.partitionBy(*keys, "_run").orderBy("_place")) - 1
+    return rows.withColumn(name, number + F.coalesce("_start", F.lit(0).cast("bigint"))).select(*df.columns, name)
 
 
 def ordered_pages(
     df: DataFrame, keys: list[str], order: list[str], items: list[str], page_rows: int = PAGE_ROWS
 ) -> DataFrame:
-    """Per key the rows as one array ``items`` of structs, in ``order``.
+    """Per key and page the rows as one array ``items`` of structs, in ``order``, then by the items.
 
-    ``page`` is 0 for a whole group. A group above ``page_rows`` rows is split over
-    several ascending pages instead: its rows are range-partitioned by key and order,
-    and every task cuts its own run into pages. No row is dropped and no task holds a
-    whole hot group. Null keys form a group like any other.
-
-    Group sizes are counted first, by a job of their own over the key columns: without a
-    large group the arrays then need a single shuffle.
+    A page holds the rows at places ``page * page_rows`` up to the next page's, so pages follow from
+    the rows alone and an ordinary group is the single page 0. No row is dropped and no task holds a
+    whole hot group.
     """
     position = [*order, *[c for c in items if c not in order]]
     slim = df.select(*dict.fromkeys([*keys, *order, *items]))
-    named = [f"_k{i}" for i in range(len(keys))]
-    large = (
-        slim.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > page_rows)
-        .select(*[F.col(k).alias(n) for k, n in zip(keys, named)])
-    )
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named)]
-
-    def arrays(rows: DataFrame) -> DataFrame:
-        packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(position)], F.struct(*items).alias("item"))
-        sorted_items = F.transform(F.sort_array(F.collect_list(packed)), lambda x: x["item"])
-        return rows.groupBy(*keys, "page").agg(sorted_items.alias("items"))
-
-    if large.isEmpty():
-        return arrays(slim.withColumn("page", F.lit(0).cast("bigint")))
-    whole = slim.join(large, same, "left_anti").withColumn("page", F.lit(0).cast("bigint"))
-    spread = (
-        slim.join(large, same, "left_semi")
-        .repartitionByRange(*keys, *position)
-        .withColumn("_part", F.spark_partition_id().cast("bigint"))
-    )
-    in_part = Window.partitionBy(*keys, "_part").orderBy(*position)
-    run = F.floor((F.row_number().over(in_part) - 1) / F.lit(page_rows))
-    paged = spread.withColumn("page", F.shiftleft(F.col("_part"), 32) + run).drop("_part")
-    return arrays(whole).unionByName(arrays(paged))
+    placed = numbered(slim, keys, position, "_position")
+    packed = F.struct("_position", F.struct(*items).alias("item"))
+    paged = placed.withColumn("page", F.floor(F.col("_position") / F.lit(page_rows)))
+    sorted_items = F.transform(F.sort_array(F.collect_list(packed)), lambda x: x["item"])
+    return paged.groupBy(*keys, "page").agg(sorted_items.alias("items"))
 
 
 def top_k_rows(df: DataFrame, keys: list[str], order: list[Column], k: int, rank_as: str | None = None) -> DataFrame:

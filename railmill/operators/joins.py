@@ -68,17 +68,15 @@ def interval_join(
     start: str,
     end: str,
     bin_days: int = 28,
-    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``points`` with every row of ``ranges`` of equal keys whose dates cover ``point``.
 
     Ranges are laid out over calendar bins and the bin joins the equi key. A hot key is
     thereby spread over its bins, and a point meets only ranges that reach its bin.
-    Bins outside the span of the points are not laid out, so open-ended ranges stay cheap;
-    ``bounds`` may name a cheaper frame to read that span from.
+    Bins outside the span of the points are not laid out, so open-ended ranges stay cheap.
     """
     left = points.withColumn("_day", point).withColumn("_bin", _bin(F.col("_day"), bin_days))
-    span = (bounds if bounds is not None else points).select(_bin(point, bin_days).alias("b"))
+    span = points.select(_bin(point, bin_days).alias("b"))
     low = span.select(F.min("b")).scalar()
     high = span.select(F.max("b")).scalar()
     from_bin = F.greatest(_bin(F.col(start), bin_days), low)

@@ -372,9 +372,7 @@ def fact_movement(
     )
 
 
-def fact_berth_events(
-    describer: DataFrame, areas: DataFrame, berths: DataFrame, bridge: DataFrame, bounds: DataFrame | None = None
-) -> DataFrame:
+def fact_berth_events(describer: DataFrame, areas: DataFrame, berths: DataFrame, bridge: DataFrame) -> DataFrame:
     """Berth steps of trains with a schedule valid on the day of the step."""
     steps = describer.filter(F.col("msg_type") != "CT")
     dated = interval_join(
@@ -384,7 +382,6 @@ def fact_berth_events(
         F.to_date("event_ts"),
         "schedule_start_date",
         "schedule_end_date",
-        bounds=bounds,
     ).select("p.*", "r.bridge_id", "r.schedule_id", "r.train_uid")
     area = areas.select("td_area_id", F.col("area_id").alias("_area"))
     berth = berths.select(

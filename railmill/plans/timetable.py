@@ -116,8 +116,11 @@ def route_meta(stop_rows: DataFrame, station: str | None = None, page_rows: int
     )
 
 
-def timetable_rows(meta: DataFrame) -> DataFrame:
-    """Arrays of a route back to one row per stop, as the timetable view shows them."""
+def timetable_rows(meta: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Arrays of a route back to one row per stop, as the timetable view shows them.
+
+    ``page_rows`` is that of the pages: stops are numbered through all pages of a route.
+    """
     arrays = {
         "stops": "station",
         "platforms": "platform",
@@ -129,9 +132,9 @@ def timetable_rows(meta: DataFrame) -> DataFrame:
         "tt_pass_wtt": "pass_timetable",
     }
     zipped = F.arrays_zip(*[F.col(a).alias(n) for a, n in arrays.items()])
-    return meta.select(*ROUTE, "page", F.posexplode(zipped).alias("stop_no", "s")).select(
-        *ROUTE, "page", "stop_no", "s.*"
-    )
+    stops = meta.select(*ROUTE, "page", F.posexplode(zipped).alias("at", "s"))
+    number = (F.col("page") * page_rows + F.col("at")).cast("int").alias("stop_no")
+    return stops.select(*ROUTE, "page", number, "s.*")
 
 
 def route_centre(stop_rows: DataFrame) -> DataFrame:
