@@ -20,6 +20,7 @@ from railmill.functions import (
 from railmill.operators.arrays import computed_once, json_array_rows
 from railmill.operators.filters import latest_partition
 from railmill.schemas import SCHEDULE_LOCATION, SCHEDULE_SEGMENT
+from railmill.sources.tables import DAY
 
 
 def _places(df: DataFrame, station: str, tiploc: str, nlc: str, crs: str, name: str) -> DataFrame:
@@ -43,7 +44,9 @@ def reference_places(corpus: DataFrame) -> DataFrame:
 
 
 def _newest_day(schedules: DataFrame) -> DataFrame:
-    return latest_partition(schedules, F.to_date("ingest_ts"))
+    """The newest load; where the partition column is at hand, only its files are read."""
+    day = F.col(DAY) if DAY in schedules.columns else F.to_date("ingest_ts")
+    return latest_partition(schedules, day)
 
 
 def schedule_headers(schedules: DataFrame) -> DataFrame:

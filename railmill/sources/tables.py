@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,43 +70,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    fs, hadoop_path = _file_system(spark, f"{path}/{column}={value}")
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
 
 
-def merge_days(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], ts: str = "ingest_ts") -> None:
+def merge_days(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    keys: list[str],
+    ts: str = "ingest_ts",
+    event_ts: str | None = None,
+) -> None:
     """Upserts ``updates`` (one row per key) into a day-partitioned table.
 
     Only days that hold a matching key, or receive a row, are rewritten: the cost follows
-    the touched days, not the table. The list of days is all that reaches the driver.
-    A rerun with the same updates gives the same table, so a lost run is simply repeated.
-    The updates are stored first, because several steps read them.
+    the touched days, not the table. ``event_ts`` may name an event time that is part of the key:
+    a row of the same key cannot have arrived before it, so days before the earliest event of the
+    updates (less one day for clocks that differ) are not even read. The list of days is all that
+    reaches the driver. A rerun with the same updates gives the same table, so a lost run is
+    simply repeated. The updates are stored while the merge lasts, because several steps read them.
     """
     new = with_ingest_date(updates, ts)
     if not path_exists(spark, path):
         new.write.mode("overwrite").partitionBy(DAY).parquet(path)
         return
     staged = shared_dir(spark, "merge")
-    new.write.parquet(staged)
-    new = spark.read.schema(new.schema).parquet(staged)
-    table = spark.read.schema(new.schema).parquet(path)
-    hit = table.join(new.select(*keys), keys, "left_semi").select(DAY)
-    old_days = {row[0] for row in hit.distinct().collect()}
-    new_days = {row[0] for row in new.select(DAY).distinct().collect()}
-    touched = sorted(old_days | new_days)
-    merged = upsert(table.filter(F.col(DAY).isin(touched)), new, keys)
-    merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        DAY
-    ).parquet(path)
-    # a day whose rows all moved elsewhere got no new files and must not keep the old ones
-    spark.catalog.refreshByPath(path)
-    moved = new.select(*keys, F.col(DAY).alias("_new_day"))
-    for day in sorted(old_days - new_days):
-        rows = spark.read.schema(new.schema).parquet(path).filter(F.col(DAY) == F.lit(day))
-        if rows.join(moved, keys, "left_anti").isEmpty():
-            _drop_partition(spark, path, DAY, day.isoformat())
-    spark.catalog.refreshByPath(path)
+    try:
+        new.write.parquet(staged)
+        new = spark.read.schema(new.schema).parquet(staged)
+        table = spark.read.schema(new.schema).parquet(path)
+        hit = matching_days(table, new, keys, None if event_ts is None else earliest_day(new, event_ts))
+        old_days = {row[0] for row in hit.distinct().collect()}
+        new_days = {row[0] for row in new.select(DAY).distinct().collect()}
+        touched = sorted(old_days | new_days)
+        merged = upsert(table.filter(F.col(DAY).isin(touched)), new, keys)
+        merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            DAY
+        ).parquet(path)
+        spark.catalog.refreshByPath(path)
+        # a day whose rows all moved elsewhere got no new files and must not keep the old ones
+        left = sorted(old_days - new_days)
+        if left:
+            rows = spark.read.schema(new.schema).parquet(path).filter(F.col(DAY).isin(left))
+            stay = rows.join(new.select(*keys), keys, "left_anti").select(DAY).distinct()
+            for day in set(left) - {row[0] for row in stay.collect()}:
+                _delete(spark, f"{path}/{DAY}={day.isoformat()}")
+            spark.catalog.refreshByPath(path)
+    finally:
+        _delete(spark, staged)
+
+
+def earliest_day(updates: DataFrame, event_ts: str) -> dt.date | None:
+    """The day before the earliest event; None if an event time is missing or there are no rows."""
+    event = F.to_date(event_ts)
+    found = updates.agg(F.min(event).alias("first"), F.count_if(event.isNull()).alias("missing")).first()
+    return None if found["missing"] or found["first"] is None else found["first"] - dt.timedelta(days=1)
+
+
+def matching_days(table: DataFrame, updates: DataFrame, keys: list[str], since: dt.date | None = None) -> DataFrame:
+    """Days of the rows of ``table`` whose key is in ``updates``, from ``since`` on."""
+    reached = table if since is None else table.filter(F.col(DAY) >= F.lit(since))
+    return reached.join(updates.select(*keys), keys, "left_semi").select(DAY)
 
 
 def geo_snapshot(geo: DataFrame, key: str = "station_id") -> DataFrame:

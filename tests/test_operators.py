@@ -77,6 +77,42 @@ def test_ordered_pages_without_hot_groups_is_one_page_each(spark):
     assert pages.select("page").distinct().collect()[0].page == 0 and pages.count() == 7
 
 
+def test_places_do_not_depend_on_partitions(spark):
+    data = [("hot" if i % 3 else f"k{i % 50}", (i * 7919) % 1000, i) for i in range(3000)] + [(None, i % 4, i) for i in range(40)]
+    df = spark.createDataFrame(data, "k string, o int, v int")
+    want = {}
+    for k, o, v in sorted(data, key=lambda r: (str(r[0]), r[1], r[2])):
+        want.setdefault(k, []).append((o, v))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, run_rows in ((4, 50), (7, 50), (4, 10**9), (7, 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            got = aggregates.numbered(df.repartition(partitions), ["k"], ["o", "v"], run_rows=run_rows)
+            assert got.columns == ["k", "o", "v", "position"]
+            places = {(r.k, r.position): (r.o, r.v) for r in got.collect()}
+            assert places == {(k, i): x for k, rows in want.items() for i, x in enumerate(rows)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pages_run_no_job_while_they_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pages", "building")
+    try:
+        aggregates.ordered_pages(spark.range(1000).selectExpr("id % 2 as k", "id as o"), ["k"], ["o"], ["o"], page_rows=10)
+        assert list(tracker.getJobIdsForGroup("pages")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_interval_join_reaches_points_far_apart(spark):
+    days = [dt.date(1999, 12, 31), dt.date(2024, 1, 15), dt.date(2080, 5, 5)]
+    left = spark.createDataFrame([(i, 1, d) for i, d in enumerate(days)], "i int, k int, d date")
+    right = spark.createDataFrame([(1, 1, dt.date(1990, 1, 1), dt.date(2099, 1, 1))], "j int, k int, a date, z date")
+    joined = joins.interval_join(left, right, [("k", "k")], F.col("d"), "a", "z")
+    assert rows(joined.select("i")) == [(0,), (1,), (2,)]
+
+
 def test_latest_rows_keep_ties_and_skip_nulls(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d")], "k int, ts int, v string")
     assert rows(aggregates.latest_rows(df, "k", "ts").select("k", "ts", "v")) == [(1, 5, "a"), (1, 5, "b")]

@@ -57,9 +57,10 @@ def test_leaderboards_combine_before_the_shuffle(stored):
     assert "partial_sum" in plan(performance.station_leaderboard(totals))
 
 
-def test_latest_rows_use_a_semi_join_not_a_window(stored):
+def test_latest_rows_read_the_table_once_and_limit_each_task(stored):
     text = plan(marts.train_status(stored["movement"]))
-    assert "LeftSemi" in text and "Window" not in text
+    assert text.count("FileScan parquet") == 1 and "Join" not in text
+    assert text.count("WindowGroupLimit") == 2
 
 
 @pytest.mark.parametrize("name", ["p22_fact_movement", "p28_train_delay", "p30_route_meta", "p34_station_performance", "p41_associated_routes"])
