@@ -28,7 +28,6 @@ from railmill.functions.timing import (
     allowance_minutes,
     at_time_of_day,
     delay_bucket,
-    first_time,
     hhmm_time,
     runs_on,
     runs_on_column,

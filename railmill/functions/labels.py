@@ -86,10 +86,9 @@ TOPICS = {
     "0008": "rail_change_location_clean",
 }
 DEAD_LETTER_TOPIC = "rail_movement_dlq"
-LIVE_TOPIC = "rail_movement_live"
 BERTH_TOPIC = "rail_td_mov_clean"
 
-# --- delay buckets: label, lowest and highest whole minute --------------------------
+# --- delay buckets ------------------------------------------------------------------
 DELAY_BUCKETS = ("on_time", "slight_delay", "delay", "major_delay")
 
 # --- weekday flag columns, Monday first ---------------------------------------------

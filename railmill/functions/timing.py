@@ -25,10 +25,6 @@ def allowance_minutes(col: Column) -> Column:
     )
 
 
-def first_time(*times: Column) -> Column:
-    return F.coalesce(*times)
-
-
 def at_time_of_day(day: Column, *times: Column) -> Column:
     """Timestamp of the first known time of day on a date."""
     return F.to_timestamp(F.concat(day.cast("string"), F.lit(" "), F.coalesce(*times)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-RAW_DUMP = "record_type string, payload string, ingest_ts timestamp"
-
 SCHEDULE_PAYLOAD = """
     CIF_train_uid string, transaction_type string, schedule_start_date string, schedule_end_date string,
     schedule_days_runs string, CIF_bank_holiday_running string, train_status string, CIF_stp_indicator string,
@@ -102,49 +100,120 @@ STOP_COLUMNS = (
 
 # Live state of one train
 TRAIL_POINT = "struct<longitude:double,latitude:double>"
-LIVE_STATE = f"""
-    train_id string, train_uid string, toc_name string, latitude double, longitude double, location_name string,
-    next_station string, planned_event_type string, planned_timestamp timestamp, timetable_variation bigint,
-    variation_status string, event_type string, trail array<{TRAIL_POINT}>, last_update timestamp
-"""
 
-# Typed events. Kind of each field: t text, i integer, m epoch milliseconds, b boolean,
-# d date at midnight. Fields come from the message body unless listed as header fields.
+# The fields of each typed event and how their text is read. Fields come from the
+# message body unless listed as header fields.
+TEXT, INTEGER, MILLIS, BOOLEAN, DAY = "text", "integer", "epoch milliseconds", "boolean", "date at midnight"
 TYPED_EVENTS = {
-    "activation": (
-        "train_id:t train_uid:t train_service_code:t train_file_address:t schedule_type:t schedule_source:t"
-        " schedule_start_date:t schedule_end_date:t schedule_wtt_id:t sched_origin_stanox:i tp_origin_stanox:i"
-        " tp_origin_timestamp:d origin_dep_timestamp:m creation_timestamp:m train_call_type:t train_call_mode:t"
-        " toc_id:i d1266_record_number:t source_dev_id:t user_id:t original_data_source:t source_system_id:t"
-        " msg_queue_timestamp:m"
-    ),
-    "cancellation": (
-        "train_id:t train_service_code:t train_file_address:t canx_type:t canx_reason_code:t canx_timestamp:m"
-        " orig_loc_stanox:i orig_loc_timestamp:m dep_timestamp:m loc_stanox:i toc_id:i division_code:t"
-    ),
-    "movement": (
-        "train_id:t train_service_code:t division_code:t toc_id:i route:t loc_stanox:i next_report_stanox:i"
-        " reporting_stanox:i platform:t actual_timestamp:m planned_timestamp:m planned_event_type:t event_type:t"
-        " timetable_variation:i variation_status:t next_report_run_time:i correction_ind:b offroute_ind:b"
-        " train_terminated:b delay_monitoring_point:b auto_expected:b event_source:t"
-    ),
-    "reinstatement": (
-        "train_id:t current_train_id:t reinstatement_timestamp:m dep_timestamp:m loc_stanox:i original_loc_stanox:i"
-        " original_loc_timestamp:m toc_id:i division_code:t train_service_code:t train_file_address:t"
-    ),
-    "change_origin": (
-        "train_id:t current_train_id:t coo_timestamp:m reason_code:t dep_timestamp:m loc_stanox:i"
-        " original_loc_stanox:i original_loc_timestamp:m toc_id:i division_code:t train_service_code:t"
-        " train_file_address:t"
-    ),
-    "change_identity": (
-        "train_id:t current_train_id:t revised_train_id:t event_timestamp:m train_service_code:t"
-        " train_file_address:t"
-    ),
-    "change_location": (
-        "train_id:t current_train_id:t event_timestamp:m loc_stanox:i dep_timestamp:m original_loc_stanox:i"
-        " original_loc_timestamp:m train_service_code:t train_file_address:t"
-    ),
+    "activation": {
+        "train_id": TEXT,
+        "train_uid": TEXT,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+        "schedule_type": TEXT,
+        "schedule_source": TEXT,
+        "schedule_start_date": TEXT,
+        "schedule_end_date": TEXT,
+        "schedule_wtt_id": TEXT,
+        "sched_origin_stanox": INTEGER,
+        "tp_origin_stanox": INTEGER,
+        "tp_origin_timestamp": DAY,
+        "origin_dep_timestamp": MILLIS,
+        "creation_timestamp": MILLIS,
+        "train_call_type": TEXT,
+        "train_call_mode": TEXT,
+        "toc_id": INTEGER,
+        "d1266_record_number": TEXT,
+        "source_dev_id": TEXT,
+        "user_id": TEXT,
+        "original_data_source": TEXT,
+        "source_system_id": TEXT,
+        "msg_queue_timestamp": MILLIS,
+    },
+    "cancellation": {
+        "train_id": TEXT,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+        "canx_type": TEXT,
+        "canx_reason_code": TEXT,
+        "canx_timestamp": MILLIS,
+        "orig_loc_stanox": INTEGER,
+        "orig_loc_timestamp": MILLIS,
+        "dep_timestamp": MILLIS,
+        "loc_stanox": INTEGER,
+        "toc_id": INTEGER,
+        "division_code": TEXT,
+    },
+    "movement": {
+        "train_id": TEXT,
+        "train_service_code": TEXT,
+        "division_code": TEXT,
+        "toc_id": INTEGER,
+        "route": TEXT,
+        "loc_stanox": INTEGER,
+        "next_report_stanox": INTEGER,
+        "reporting_stanox": INTEGER,
+        "platform": TEXT,
+        "actual_timestamp": MILLIS,
+        "planned_timestamp": MILLIS,
+        "planned_event_type": TEXT,
+        "event_type": TEXT,
+        "timetable_variation": INTEGER,
+        "variation_status": TEXT,
+        "next_report_run_time": INTEGER,
+        "correction_ind": BOOLEAN,
+        "offroute_ind": BOOLEAN,
+        "train_terminated": BOOLEAN,
+        "delay_monitoring_point": BOOLEAN,
+        "auto_expected": BOOLEAN,
+        "event_source": TEXT,
+    },
+    "reinstatement": {
+        "train_id": TEXT,
+        "current_train_id": TEXT,
+        "reinstatement_timestamp": MILLIS,
+        "dep_timestamp": MILLIS,
+        "loc_stanox": INTEGER,
+        "original_loc_stanox": INTEGER,
+        "original_loc_timestamp": MILLIS,
+        "toc_id": INTEGER,
+        "division_code": TEXT,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+    },
+    "change_origin": {
+        "train_id": TEXT,
+        "current_train_id": TEXT,
+        "coo_timestamp": MILLIS,
+        "reason_code": TEXT,
+        "dep_timestamp": MILLIS,
+        "loc_stanox": INTEGER,
+        "original_loc_stanox": INTEGER,
+        "original_loc_timestamp": MILLIS,
+        "toc_id": INTEGER,
+        "division_code": TEXT,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+    },
+    "change_identity": {
+        "train_id": TEXT,
+        "current_train_id": TEXT,
+        "revised_train_id": TEXT,
+        "event_timestamp": MILLIS,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+    },
+    "change_location": {
+        "train_id": TEXT,
+        "current_train_id": TEXT,
+        "event_timestamp": MILLIS,
+        "loc_stanox": INTEGER,
+        "dep_timestamp": MILLIS,
+        "original_loc_stanox": INTEGER,
+        "original_loc_timestamp": MILLIS,
+        "train_service_code": TEXT,
+        "train_file_address": TEXT,
+    },
 }
 HEADER_FIELDS = {"source_dev_id", "user_id", "original_data_source", "source_system_id", "msg_queue_timestamp"}
 MESSAGE_TYPES = {
@@ -160,7 +229,7 @@ MESSAGE_TYPES = {
 
 def _message_schema() -> str:
     """Raw feed message: every field any event type reads, as text."""
-    names = dict.fromkeys(spec.split(":")[0] for fields in TYPED_EVENTS.values() for spec in fields.split())
+    names = dict.fromkeys(name for fields in TYPED_EVENTS.values() for name in fields)
     header = ", ".join(f"{n}: string" for n in ["msg_type", *[n for n in names if n in HEADER_FIELDS]])
     body = ", ".join(f"{n}: string" for n in names if n not in HEADER_FIELDS)
     return f"header struct<{header}>, body struct<{body}>"

@@ -10,16 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railmill.functions import parsing
-from railmill.functions.labels import BERTH_TOPIC, DEAD_LETTER_TOPIC, TOPICS
+from railmill.functions.labels import DEAD_LETTER_TOPIC, TOPICS
 from railmill.operators.arrays import computed_once
-from railmill.schemas import HEADER_FIELDS, MESSAGE, MESSAGE_TYPES, TYPED_EVENTS
+from railmill.schemas import (
+    BOOLEAN,
+    DAY,
+    HEADER_FIELDS,
+    INTEGER,
+    MESSAGE,
+    MESSAGE_TYPES,
+    MILLIS,
+    TEXT,
+    TYPED_EVENTS,
+)
 
 PARSERS = {
-    "t": lambda c: c,
-    "i": parsing.parse_int,
-    "m": parsing.parse_millis,
-    "b": parsing.parse_bool,
-    "d": parsing.date_midnight,
+    TEXT: lambda c: c,
+    INTEGER: parsing.parse_int,
+    MILLIS: parsing.parse_millis,
+    BOOLEAN: parsing.parse_bool,
+    DAY: parsing.date_midnight,
 }
 
 
@@ -94,8 +104,7 @@ def parse_messages(records: DataFrame, body: str = "value") -> DataFrame:
 def typed_columns(event: str) -> list[Column]:
     """The typed columns of one event type, read from the ``message`` struct."""
     columns = [F.col("msg_type")]
-    for spec in TYPED_EVENTS[event].split():
-        name, kind = spec.split(":")
+    for name, kind in TYPED_EVENTS[event].items():
         part = "header" if name in HEADER_FIELDS else "body"
         columns.append(PARSERS[kind](F.col(f"message.{part}.{name}")).alias(name))
     return columns
@@ -128,7 +137,3 @@ def route_messages(messages: DataFrame, body: str = "value", ingest_ts: str = "i
     for code, event in MESSAGE_TYPES.items():
         value = value.when(F.col("msg_type") == code, typed_json(event, ingest_ts))
     return messages.select("topic", value.alias("value"))
-
-
-def all_topics() -> list[str]:
-    return [*TOPICS.values(), BERTH_TOPIC, DEAD_LETTER_TOPIC]

@@ -28,13 +28,11 @@ def tagged_records(lines: DataFrame, ingest_ts: Column | dt.datetime) -> DataFra
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spreads rows over all cores where a few files that cannot be split feed fewer tasks.
+    """Deals rows out evenly, for input that cannot be split and is costly to parse.
 
-    Meant for input whose rows are costly to parse. Input that already feeds every core
-    is left as it is, without a shuffle.
+    Without a number of ``partitions`` there are as many as a shuffle has.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_tagged_dump(spark: SparkSession, path: str, ingest_ts: dt.datetime, partitions: int | None = None) -> DataFrame:

@@ -28,7 +28,15 @@ from railmill.streaming import sinks
 # Python workers get the processor itself; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # without this an available-now run with expiry keeps adding empty micro-batches
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+HOUR_TEXT, NO_HOUR = "yyyy-MM-dd-HH", "0000-00-00-00"
 FIELDS = [
     "train_uid", "toc_name", "latitude", "longitude", "location_name", "next_station", "planned_event_type",
     "planned_timestamp", "timetable_variation", "variation_status", "event_type",
@@ -36,8 +44,9 @@ FIELDS = [
 OUTPUT = f"""
     train_id string, train_uid string, toc_name string, latitude double, longitude double, location_name string,
     next_station string, planned_event_type string, planned_timestamp string, timetable_variation bigint,
-    variation_status string, event_type string, trail string, last_update timestamp
+    variation_status string, event_type string, trail string, last_update string
 """
+HOUR = "update_hour"
 
 
 class LiveTrain(StatefulProcessor):
@@ -56,14 +65,15 @@ class LiveTrain(StatefulProcessor):
         for batch in rows:
             newest = batch.sort_values("arrival").tail(self.points)
             newest = newest.astype(object).where(newest.notna(), None)
-            added = [[int(r["arrival"]), [r[f] for f in self.fields]] for r in newest.to_dict("records")]
+            records = newest.to_dict("records")
+            added = [[int(r["arrival"]), [r[f] for f in self.fields], r["arrived_at"]] for r in records]
             kept = heapq.nlargest(self.points, kept + added, key=lambda record: record[0])
         kept.sort(key=lambda record: record[0])
         self.state.update((json.dumps(kept, default=str),))
         row = {"train_id": key[0], **dict(zip(self.fields, kept[-1][1]))}
         lon, lat = self.fields.index("longitude"), self.fields.index("latitude")
-        row["trail"] = json.dumps([{"longitude": v[lon], "latitude": v[lat]} for _, v in kept])
-        row["last_update"] = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        row["trail"] = json.dumps([{"longitude": v[lon], "latitude": v[lat]} for _, v, _ in kept])
+        row["last_update"] = max((at for *_, at in kept if at is not None), default=None)
         yield pd.DataFrame([row])
 
     def close(self) -> None:
@@ -75,8 +85,11 @@ def live_updates(
 ) -> DataFrame:
     """Streaming states of the trains each micro-batch touched.
 
-    ``enriched`` carries an ``arrival`` position (a log offset or message number). Rows
-    without a train id or coordinates are ignored. The state expires ``stale_minutes``
+    ``enriched`` carries an ``arrival`` position and the time it arrived, ``ingest_ts``. Positions
+    must compare across the rows of a train: a log offset does if the log is keyed by train, which
+    puts a train into one partition; else use a message number. ``last_update`` is the newest arrival
+    time of the records held, so a replayed micro-batch gives the same state. Rows without a train
+    id or coordinates are ignored. The state itself expires ``stale_minutes`` of processing time
     after the last update, which also resets the trail; None keeps it for ever.
     """
     located = enriched.filter(
@@ -85,6 +98,7 @@ def live_updates(
     slim = located.select(
         "train_id",
         F.col("arrival").cast("bigint").alias("arrival"),
+        F.date_format(F.col("ingest_ts").cast("timestamp"), TIME_TEXT).alias("arrived_at"),
         *[F.col(c).cast("string").alias(c) if c == "planned_timestamp" else F.col(c) for c in FIELDS],
     )
     expiry = None if stale_minutes is None else stale_minutes * 60_000
@@ -97,6 +111,7 @@ def live_updates(
     return states.withColumns(
         {
             "planned_timestamp": F.to_timestamp("planned_timestamp"),
+            "last_update": F.to_timestamp("last_update", TIME_TEXT),
             "trail": F.from_json("trail", f"array<{TRAIL_POINT}>"),
         }
     )
@@ -105,23 +120,39 @@ def live_updates(
 def live_state_stream(
     enriched: DataFrame, out: str, checkpoint: str, stale_minutes: int | None = LIVE_STALE_MINUTES, **trigger
 ) -> StreamingQuery:
-    """Writes the states of every micro-batch under its number."""
-    spark = enriched.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-    # without this an available-now run with expiry keeps adding empty micro-batches
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    return sinks.start(
-        live_updates(enriched, stale_minutes=stale_minutes),
-        lambda batch, n: sinks.write_batch(batch, n, out),
-        checkpoint,
-        output_mode="update",
-        **trigger,
-    )
+    """Writes the states of every micro-batch under the hour of their update and its number.
+
+    A query takes its settings when it starts, so the session gets its own back afterwards.
+    """
+    conf = enriched.sparkSession.conf
+    before = {key: conf.get(key, None) for key in STREAM_SETTINGS}
+    for key, value in STREAM_SETTINGS.items():
+        conf.set(key, value)
+    try:
+        hour = F.coalesce(F.date_format("last_update", HOUR_TEXT), F.lit(NO_HOUR))
+        return sinks.start(
+            live_updates(enriched, stale_minutes=stale_minutes),
+            lambda batch, n: sinks.write_batch(batch.withColumn(HOUR, hour), n, out, [HOUR]),
+            checkpoint,
+            output_mode="update",
+            **trigger,
+        )
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def read_live_states(spark: SparkSession, out: str, as_of: dt.datetime | None = None) -> DataFrame:
-    """The newest state per train; ``as_of`` leaves out trains silent for too long before it."""
+    """The newest state per train; ``as_of`` leaves out trains silent for too long before it.
+
+    With ``as_of`` only the hours are read in which a state that is not stale can have been written.
+    """
     written = spark.read.parquet(out)
+    written = written.withColumn(HOUR, F.col(HOUR).cast("string"))
+    if as_of is not None:
+        first = as_of - dt.timedelta(minutes=LIVE_STALE_MINUTES)
+        written = written.filter(F.col(HOUR) >= first.strftime("%Y-%m-%d-%H"))
+    written = written.drop(HOUR)
     order = [F.col(sinks.BATCH).desc(), *remaining_order(written, {"train_id", sinks.BATCH, "trail"})]
     states = first_k(written, ["train_id"], order, 1).drop(sinks.BATCH)
     return states if as_of is None else not_stale(states, as_of)

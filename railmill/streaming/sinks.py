@@ -12,11 +12,12 @@ BATCH = "batch_id"
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str, partition_by: list[str] | None = None) -> None:
+    """Writes one micro-batch under its number, below the values of ``partition_by`` that readers prune by."""
     numbered = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     (
         numbered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH, *(partition_by or []))
+        .partitionBy(*(partition_by or []), BATCH)
         .parquet(path)
     )
 

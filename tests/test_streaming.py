@@ -82,6 +82,7 @@ def positions(spark, n=60):
         F.col("id").alias("timetable_variation"),
         F.lit("LATE").alias("variation_status"),
         F.lit("ARRIVAL").alias("event_type"),
+        (F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60)).alias("ingest_ts"),
     )
 
 
@@ -100,7 +101,16 @@ def test_live_state_equals_batch(spark, files, stale):
     assert rows(got.select(*columns)) == rows(want.select(*columns))
     trail = {r.train_id: len(r.trail) for r in want.collect()}
     assert trail["t0"] == 20
-    assert live_state.read_live_states(spark, out, dt.datetime.now() + dt.timedelta(minutes=10)).count() == 0
+    newest = {r.train_id: r.last_update for r in got.collect()}
+    kept = batch.filter("latitude is not null").groupBy("train_id").agg(F.max("ingest_ts").alias("at"))
+    assert newest == {r.train_id: r["at"] for r in kept.collect()}
+    as_of = dt.datetime(2024, 1, 1, 1, 3)  # trains seen from 00:58 on
+    fresh = live_state.read_live_states(spark, out, as_of)
+    assert {r.train_id for r in fresh.collect()} == {t for t, at in newest.items() if at >= as_of - dt.timedelta(minutes=5)}
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "update_hour" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert live_state.read_live_states(spark, out, as_of + dt.timedelta(days=1)).count() == 0
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
     assert live.live_board(got, "next").columns[0] == "Train ID"
 
 
