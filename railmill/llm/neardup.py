@@ -10,12 +10,13 @@ with one centre on the full shingle sets, which costs one comparison a member, a
 difference of each set to the centre's. Two members that the centre does not join can be linked
 only if their differences share elements that are early in both; a join on those finds every
 further link without listing the pairs of a bucket. So links are exact, and among documents that
-share a bucket none is lost. A pair at the threshold misses all buckets with a probability below
-1 in 1,000,000 (24 bands of 5 at a similarity of 0.85).
+share a bucket none is lost. A pair at the threshold misses all buckets with a probability of at most
+``MISSED``; the bands follow from that (24 of 5 values at a similarity of 0.85, 27 of 4 at 0.8).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from railmill.llm.common import Scratch, partitions
 from railmill.llm.grouping import components
 from railmill.llm.tokens import U64, as_long, blocks, mix, segment_sums, shingle_sets
 
-BANDS, BAND_ROWS = 24, 5
-SLOTS = BANDS * BAND_ROWS
+MISSED = 1e-6
+MAX_BANDS, MAX_SLOTS = 28, 256
 # Shingles one salted share of a centre's members may hold before the next share begins.
 SHARE_SHINGLES = 1 << 16
 _RANK = U64(40)
@@ -36,7 +37,21 @@ _STEP = 0x9E3779B97F4A7C15
 _ACTIVE = 1 << 17
 
 
-def super_minhash(elements: np.ndarray, bounds: np.ndarray, slots: int = SLOTS) -> np.ndarray:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and values per band: the longest bands of which few enough suffice."""
+    best = (math.ceil(math.log(MISSED) / math.log(1 - min(percent / 100, 0.99))), 1)
+    for rows in range(2, MAX_SLOTS):
+        share = min(percent / 100, 0.99) ** rows
+        bands = math.ceil(math.log(MISSED) / math.log(1 - share))
+        if bands > MAX_BANDS or bands * rows > MAX_SLOTS:
+            break
+        best = (bands, rows)
+    if best[0] * best[1] > MAX_SLOTS:
+        raise ValueError(f"a similarity of {percent} % is too low for {MAX_SLOTS} slots")
+    return best
+
+
+def super_minhash(elements: np.ndarray, bounds: np.ndarray, slots: int) -> np.ndarray:
     """One signature (uint64 x ``slots``) per set; the elements of set i lie between its bounds.
 
     All sets move down their permutations together. A set leaves once its largest value is
@@ -97,7 +112,7 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
         ids = batch.column(0)
         for block in blocks(batch.column(1)):
             sets, bounds = shingle_sets(block, size)
-            signature = super_minhash(sets, bounds)
+            signature = super_minhash(sets, bounds, bands * rows)
             digests = [as_long(segment_sums(mix(sets ^ U64(salt)), bounds)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
             keys = as_long(band_keys(signature, bands, rows)).reshape(-1)
             offsets = np.arange(block.rows + 1, dtype=np.int32) * bands
@@ -112,7 +127,7 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
             )
 
 
-def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
+def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """Per document the size of its shingle set, a 128-bit digest of it and band keys."""
     return docs.select("doc_id", "text").mapInArrow(
         lambda batches: _signed(batches, shingle, bands, rows),
@@ -275,7 +290,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     scratch = Scratch(docs.sparkSession, "neardup")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = scratch.keep(signatures(texts, shingle), "signed")
+    signed = scratch.keep(signatures(texts, shingle, *banding(percent)), "signed")
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
     same_set = scratch.keep(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "sets")
     first = signed.withColumnRenamed("doc_id", "node").join(same_set, ["d1", "d2", "node"], "left_semi")

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from railmill.llm.neardup import near_duplicates, super_minhash
+from railmill.llm.neardup import MISSED, banding, near_duplicates, super_minhash
 from railmill.llm.tokens import U64, mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -124,5 +124,12 @@ def test_signatures_estimate_similarity():
     shared = rng.integers(0, 1 << 63, 800).astype(U64)
     a = np.concatenate([shared, rng.integers(0, 1 << 63, 100).astype(U64)])
     b = np.concatenate([shared, rng.integers(0, 1 << 63, 100).astype(U64)])
-    signature = super_minhash(np.concatenate([a, b]), np.array([0, 900, 1800]))
+    signature = super_minhash(np.concatenate([a, b]), np.array([0, 900, 1800]), 120)
     assert abs((signature[0] == signature[1]).mean() - 0.8) < 0.13
+
+
+def test_bands_miss_few_pairs():
+    assert banding(85) == (24, 5) and banding(80) == (27, 4)
+    for percent in (50, 60, 70, 80, 85, 90, 95, 99, 100):
+        bands, rows = banding(percent)
+        assert (1 - min(percent / 100, 0.99) ** rows) ** bands <= MISSED and bands * rows <= 256
