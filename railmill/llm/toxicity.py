@@ -23,14 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railmill.llm.common import Scratch, held_out
-from railmill.llm.tokens import U64, Block, blocks, prefix
+from railmill.llm.tokens import U64, Block, as_long, blocks, prefix
 
 # A token is a run of ASCII letters, digits, or bytes of other alphabets.
 INSIDE = np.zeros(256, dtype=bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 PREFIXES = (4, 5, 6)  # bytes
-BITS = 20
 LEVELS = len(PREFIXES) + 1
+BITS = (*[18] * len(PREFIXES), 20)  # of the hash tables: prefixes are fewer than words
 PRIOR = 10.0
 DRIFT = 0.6
 MIN_DOCS = 2
@@ -55,13 +55,12 @@ def tokens(block: Block) -> Tokens:
     end = np.flatnonzero(previous & (~inside | cut))
     bounds = np.searchsorted(start, block.starts)
     sums = prefix(block.data)
-    mask = U64((1 << BITS) - 1)
     known = np.ones((LEVELS, len(start)), dtype=bool)
     bucket = np.empty((LEVELS, len(start)), dtype=np.int64)
     for level, width in enumerate(PREFIXES):
         known[level] = end - start > width
-        bucket[level] = (sums.hashes(start, np.minimum(start + width, end)) & mask).view(np.int64)
-    bucket[-1] = (sums.hashes(start, end) & mask).view(np.int64)
+        bucket[level] = as_long(sums.hashes(start, np.minimum(start + width, end)) & U64((1 << BITS[level]) - 1))
+    bucket[-1] = as_long(sums.hashes(start, end) & U64((1 << BITS[-1]) - 1))
     row = np.repeat(np.arange(block.rows), np.diff(bounds))
     return Tokens(row, bounds, known, bucket)
 
@@ -69,8 +68,8 @@ def tokens(block: Block) -> Tokens:
 class Lexicon(NamedTuple):
     """Document counts by level and bucket, and the share of toxic documents."""
 
-    toxic: np.ndarray  # levels x buckets
-    total: np.ndarray
+    toxic: list[np.ndarray]  # one table a level
+    total: list[np.ndarray]
     rate: float
 
     def scores(self, t: Tokens) -> np.ndarray:
@@ -130,18 +129,23 @@ class Model(NamedTuple):
         return float(1 / (1 + np.exp(-np.clip(x, -50, 50))))
 
 
+def _tables() -> list[np.ndarray]:
+    """Empty counters; no count exceeds the documents of a sample."""
+    return [np.zeros(1 << bits, dtype=np.uint32) for bits in BITS]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial document counts of one task: level, bucket, toxic, total."""
-    toxic = np.zeros((LEVELS, 1 << BITS), dtype=np.int32)
-    total = np.zeros((LEVELS, 1 << BITS), dtype=np.int32)
+    toxic, total = _tables(), _tables()
     for batch in batches:
         label = batch.column("label").to_numpy()
         for block in blocks(batch.column("text")):
             t = tokens(block)
             for level in range(LEVELS):
-                pairs = np.unique((t.row[t.known[level]] << BITS) | t.bucket[level][t.known[level]])
-                bucket = pairs & ((1 << BITS) - 1)
-                weight = label[block.first + (pairs >> BITS)] == 1
+                bits = BITS[level]
+                pairs = np.unique((t.row[t.known[level]] << bits) | t.bucket[level][t.known[level]])
+                bucket = pairs & ((1 << bits) - 1)
+                weight = label[block.first + (pairs >> bits)] == 1
                 np.add.at(total[level], bucket, 1)
                 np.add.at(toxic[level], bucket[weight], 1)
     for level in range(LEVELS):
@@ -239,11 +243,12 @@ def learn(sample: DataFrame, scratch: Scratch) -> Model | None:
         return None
     counts = counting.select("text", "label").mapInArrow(_count, "level int, bucket long, toxic long, total long")
     counts = counts.groupBy("level", "bucket").agg(F.sum("toxic").alias("toxic"), F.sum("total").alias("total"))
-    found = counts.filter(F.col("total") >= MIN_DOCS).toArrow()  # at most LEVELS * 2**BITS rows
+    found = counts.filter(F.col("total") >= MIN_DOCS).toArrow()  # at most one row a bucket
     level, bucket, a, n = (found.column(i).to_numpy() for i in range(4))
-    toxic = np.zeros((LEVELS, 1 << BITS), dtype=np.float32)
-    total = np.zeros((LEVELS, 1 << BITS), dtype=np.float32)
-    toxic[level, bucket], total[level, bucket] = a, n
+    toxic, total = _tables(), _tables()
+    for i in range(LEVELS):
+        here = level == i
+        toxic[i][bucket[here]], total[i][bucket[here]] = a[here], n[here]
     lexicon = Lexicon(toxic, total, classes[1] / (classes[0] + classes[1]))
     shared = spark.sparkContext.broadcast(lexicon)
 
@@ -265,6 +270,7 @@ def learn(sample: DataFrame, scratch: Scratch) -> Model | None:
     best = F.when(F.col("n") > 0, F.greatest(F.lit(decay) * F.col("best") - offset, F.lit(-5.0))).otherwise(0.0)
     points = docs.select("label", best.alias("best"), F.log1p(total_gain).alias("total")).toArrow()
     y, x1, x2 = (points.column(i).to_numpy().astype(float) for i in range(3))
+    shared.destroy()
     if 0 < y.sum() < len(y):
         draft = draft._replace(weights=fit_logistic(np.stack([np.ones_like(x1), x1, x2], axis=1), y))
     return draft
@@ -299,7 +305,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = learn(labelled_sample(texts, labels, "toxic", sample_docs, scratch), scratch)
     if model is None:
-        nothing = Lexicon(np.zeros((LEVELS, 1 << BITS), np.float32), np.zeros((LEVELS, 1 << BITS), np.float32), 0.5)
+        nothing = Lexicon(_tables(), _tables(), 0.5)
         model = Model(nothing, 1.0, 0.0, np.array([-2.0, 1.0, 1.0]))
     shared = spark.sparkContext.broadcast(model)
     scored = texts.mapInArrow(
