@@ -115,11 +115,17 @@ def enriched_output(t):
     """The enriching stream over all movements."""
     out = shared_dir(t.spark, "enriched")
 
-    def lookups():
-        return live.one_per_key(t.role("geo"), "station_id"), t.role("schedule"), t.role("toc")
-
+    stored = {
+        "live_places": live.one_per_key(t.role("geo"), "station_id"),
+        "live_schedules": live.current_schedules(t.role("schedule"), ENRICH_DAY),
+        "dim_toc": t.role("toc"),
+    }
+    paths = {name: shared_dir(t.spark, name) for name in stored}
+    for name, df in stored.items():
+        df.write.parquet(paths[name])
     movements = Stream(t, "lineitem").role("in_movement")
-    run(enrich.enrich_stream(movements, lookups, lambda: ENRICH_DAY, out, shared_dir(t.spark, "ck"), available_now=True))
+    lookups = enrich.stored_lookups(t.spark, paths)
+    run(enrich.enrich_stream(movements, lookups, None, out, shared_dir(t.spark, "ck"), available_now=True))
     return t.spark.read.parquet(out)
 
 

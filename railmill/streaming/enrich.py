@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from railmill.plans.live import enrich_movements
@@ -14,17 +14,27 @@ from railmill.streaming import sinks
 Lookups = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
+def stored_lookups(spark: SparkSession, paths: dict[str, str]) -> Lookups:
+    """Places, signalling ids and operators as the daily run last stored them."""
+
+    def lookups() -> tuple[DataFrame, DataFrame, DataFrame]:
+        return tuple(spark.read.parquet(paths[name]) for name in ("live_places", "live_schedules", "dim_toc"))
+
+    return lookups
+
+
 def enrich_stream(
-    movements: DataFrame, lookups: Lookups, day: Callable[[], dt.date], out: str, checkpoint: str, **trigger
+    movements: DataFrame, lookups: Lookups, day: Callable[[], dt.date] | None, out: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Enriches every micro-batch with geo, schedules and operators.
 
     ``lookups`` is called per micro-batch and reads the tables anew, so the daily refresh
-    is seen without a restart. ``day`` gives the date schedules must be valid on.
+    is seen without a restart. ``day`` gives the date schedules must be valid on; None says that
+    the lookups hold one schedule per signalling id already, as ``stored_lookups`` reads them.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         geo, schedules, operators = lookups()
-        sinks.write_batch(enrich_movements(batch, geo, schedules, operators, day()), number, out)
+        sinks.write_batch(enrich_movements(batch, geo, schedules, operators, day() if day else None), number, out)
 
     return sinks.start(movements, handle, checkpoint, **trigger)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from catalogue import load_all
 from catalogue.registry import Tables
 from railmill.operators.filters import on_run_date
-from railmill.plans import intermediate
+from railmill.plans import intermediate, live
 from railmill.plans.daily import run_daily
 from railmill.sources import tables
+from railmill.streaming import enrich
 
 SF_DIR = "/root/testdata/sf0.001"
 load_all()
@@ -49,7 +50,7 @@ def test_a_day_can_be_run_again(spark, inputs, tmp_path):
     warehouse = str(tmp_path / "warehouse")
     first = contents(spark, run_daily(spark, warehouse, feeds, seeds, run_ts, dump))
     again = contents(spark, run_daily(spark, warehouse, feeds, seeds, run_ts, dump))
-    assert sorted(first) == sorted(again) and len(first) == 25
+    assert sorted(first) == sorted(again) and len(first) == 27
     assert {n for n in first if first[n] != again[n]} == set()
     keys = spark.read.parquet(f"{warehouse}/core/fact_train_movement").select("train_movement_id")
     assert keys.count() == keys.distinct().count() > 0
@@ -68,6 +69,20 @@ def test_late_messages_of_the_day_before(spark, inputs, tmp_path):
     assert spark.read.parquet(paths["stg_movement"]).count() == want
 
 
+def test_the_live_side_reads_reduced_lookups(spark, inputs, tmp_path):
+    feeds, seeds, dump, run_ts = inputs
+    paths = run_daily(spark, str(tmp_path / "warehouse"), feeds, seeds, run_ts, dump)
+    geo, schedules, operators = enrich.stored_lookups(spark, paths)()
+    assert schedules.count() == schedules.select("train_signalling_id").distinct().count() > 0
+    assert geo.count() == geo.select("station_id").distinct().count() > 0
+    enriched = live.enrich_movements(feeds["movement"], geo, schedules, operators)
+    plan = enriched._jdf.queryExecution().executedPlan().toString()
+    trains = spark.read.parquet(paths["dim_train_schedule"])
+    again = live.enrich_movements(feeds["movement"], geo, trains, operators, run_ts.date())
+    assert "Window" not in plan and "Window" in again._jdf.queryExecution().executedPlan().toString()
+    assert enriched.exceptAll(again).count() == again.exceptAll(enriched).count() == 0
+
+
 def scan_filters(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return [line.split("PartitionFilters: ")[1] for line in plan.splitlines() if "PartitionFilters: [" in line]
