@@ -58,16 +58,18 @@ def group(
     buckets: DataFrame,
     sketches: DataFrame,
     maybe: Callable[[str, str], Column],
-    verify: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame, bool], DataFrame],
     scratch: Scratch,
     known: DataFrame | None = None,
 ) -> DataFrame:
     """``(node, label)`` for every node that is linked with another one.
 
-    ``buckets(key, node)``: nodes that share a key may be linked. ``sketches(node, sketch)``:
+    ``buckets(key, node)``: nodes that share a key may be linked; keys without any such pair may be left
+    out. ``sketches(node, sketch)``:
     one struct per node. ``maybe(a, b)`` says from two sketch columns whether a pair may be
     linked. ``verify`` takes pairs ``(a, b, sketch_a, sketch_b)``, where many pairs may share one
-    ``b``, and returns the linked ones as ``(a, b)``. ``known`` holds links that need no proof.
+    ``b``, and returns the linked ones as ``(a, b)``; its flag tells the comparison with the centres,
+    which is the bulk, from that of the rest. ``known`` holds links that need no proof.
     """
 
     def with_sketches(pairs: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def group(
     shared = scratch.keep(shared.select("key", "b"), "shared")
     members = scratch.keep(buckets.join(shared, "key").select("key", "b", "node"), "members")
     pairs = members.filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    links = verify(scratch.keep(with_sketches(pairs), "pairs"))
+    links = verify(scratch.keep(with_sketches(pairs), "pairs"), True)
     links = scratch.keep(links if known is None else links.unionByName(known), "links")
     labels = scratch.keep(components(links, scratch), "labels")
 
@@ -106,7 +108,7 @@ def group(
         F.col("s.sketch").alias("sketch_a"),
         F.col("o.sketch").alias("sketch_b"),
     ).dropDuplicates(["a", "b"])
-    more = scratch.keep(verify(scratch.keep(rest, "rest")), "more")
+    more = scratch.keep(verify(scratch.keep(rest, "rest"), False), "more")
     if more.isEmpty():
         return labels
     return components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), scratch)

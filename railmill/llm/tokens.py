@@ -3,7 +3,8 @@
 All texts of a column lie in one byte buffer. A prefix sum of ``code(byte) * P**i``
 (mod 2**64) gives the hash of any substring in two look-ups, so words and n-grams cost
 a few array operations each and no Python loop. Work runs in blocks of about
-``BLOCK_BYTES``, cut between texts; one longer text is a block of its own.
+``BLOCK_BYTES``, which bounds the memory they take, cut between texts; one longer text is a block of
+its own.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 U64 = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)

@@ -76,7 +76,7 @@ def test_grouping_finds_links_the_centre_does_not_show(spark):
     def maybe(a, b):
         return F.abs(F.col(a)["at"] - F.col(b)["at"]) <= 4
 
-    def verify(pairs):
+    def verify(pairs, most):
         return pairs.filter("abs(sketch_a.at - sketch_b.at) = 1").select("a", "b")
 
     got = group(buckets, sketches, maybe, verify, Scratch(spark, "test"))
