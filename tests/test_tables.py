@@ -80,3 +80,18 @@ def test_schedule_snapshot_pages_keep_all(spark):
     }
     paged = sorted(tables.schedule_snapshot(df, page_rows=4).collect(), key=lambda r: r.page)
     assert [x["schedule_id"] for r in paged for x in json.loads(r.value)] == [f"s{i:02d}" for i in range(30)]
+
+
+def test_models_become_views_or_tables(spark):
+    df = spark.range(3).toDF("k")
+    view = tables.materialise(df, "model_as_view", as_table=False)
+    stored = tables.materialise(df, "model_as_table", as_table=True)
+    try:
+        assert rows(view) == rows(stored) == [(0,), (1,), (2,)]
+        kinds = {t.name: t.tableType for t in spark.catalog.listTables()}
+        assert kinds["model_as_view"] == "TEMPORARY" and kinds["model_as_table"] == "MANAGED"
+        # a second run replaces the table
+        assert rows(tables.materialise(spark.range(1).toDF("k"), "model_as_table", as_table=True)) == [(0,)]
+    finally:
+        spark.sql("drop table if exists model_as_table")
+        spark.catalog.dropTempView("model_as_view")
