@@ -141,7 +141,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against an index that is empty before."""
     scratch = Scratch(spark, "digests")
     index = digest_index.DigestIndex(spark, f"{scratch.path}/index", buckets=partitions(spark))
-    return digest_index.dedup_exact(table(spark, sf_dir, "documents"), index, scratch)
+    result = digest_index.dedup_exact(table(spark, sf_dir, "documents"), index, scratch)
+    index.close()  # the result reads stored steps, not the index
+    return result
 
 
 @query("op10_sentencepiece")
