@@ -96,20 +96,16 @@ def train(labels: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], seed: i
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]
-            bucket = np.concatenate([bags[i][0] for i in some])
-            weight = np.concatenate([bags[i][1] for i in some])
-            sizes = np.array([len(bags[i][0]) for i in some])
-            row = np.repeat(np.arange(len(some)), sizes)
-            bounds = np.concatenate(([0], np.cumsum(sizes)))
-            hidden = segment_sums((vectors[bucket] * weight[:, None]).astype(np.float64), bounds)
+            hidden = np.array([bags[i][1] @ vectors[bags[i][0]] for i in some])
             logits = hidden @ output + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(some)), labels[some]] -= 1
             step = RATE * (1 - done / steps)
-            back = (p @ output.T)[row] * weight[:, None]
-            # each example moves its own features, as if it came alone
-            np.add.at(vectors, bucket, (-step * DIM * back).astype(np.float32))
+            # each example moves its own features, as if it came alone; a bag names a bucket once
+            for i, back in zip(some, (step * DIM * p @ output.T).astype(np.float32)):
+                bucket, weight = bags[i]
+                vectors[bucket] -= weight[:, None] * back
             output -= (step * hidden.T @ p / len(some) * DIM).astype(np.float32)
             bias -= step * p.mean(axis=0) * 0.1
             done += 1
