@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from railmill.llm import digest_index, langid, linededup, mixing, mtree, neardup, quality, sentencepieces, toxicity, url_filter
+from railmill.llm import conversations, digest_index, gnat, langid, linededup, mixing, mtree, neardup, quality
+from railmill.llm import sentencepieces, sharding, toxicity, url_filter
+from railmill.llm.oracles import CONVERSATIONS_SQL, NEGATIVES_SQL, SHARDS_SQL
 from railmill.llm.common import Scratch, partitions, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,4 +154,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query("op11_conversation_repair", CONVERSATIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damaged(whole), every=whole)
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.mine_hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+@query("op13_sharding", SHARDS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), F.col("home").alias("home_shard"),
+    )
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
