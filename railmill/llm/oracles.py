@@ -87,7 +87,7 @@ with ring as (
     from documents
 ), lined as (
     select *, (sum(size) over (order by pos, digest, doc_id nulls first rows unbounded preceding) - size)::bigint as start
-    from (select *, {place.format("md5(text)")} as pos from docs)
+    from (select *, {place.format("text")} as pos from docs)
 ), located as (
     select l.*, a.arc from lined l join arcs a on l.pos >= a.low and l.pos <= a.high
 ), sums as (
