@@ -26,7 +26,8 @@ CLUSTERS = 3
 SAMPLE_PER_LANG = 400
 # Languages a model may hold: each costs CLUSTERS * 16 KB in every worker.
 MAX_LANGS = 1000
-REJECT_QUANTILE = 0.001
+# What a text may fall short of the smallest cosine of its language's sample.
+REJECT_MARGIN = 1e-6
 ROWS = 256
 _SIZE = 1 << BITS
 _LETTERS = np.full(256, 0x20, dtype=np.uint8)
@@ -149,7 +150,7 @@ def learn(docs: DataFrame, scratch: Scratch, per_lang: int = SAMPLE_PER_LANG) ->
         x = vectors(table, shared.value)
         x = x[np.lexsort(x[:, :64].T)]  # k-means must not depend on the order of rows
         found = k_means(x, CLUSTERS)
-        floor = float(np.quantile((x @ found.T).max(axis=1), REJECT_QUANTILE))
+        floor = float((x @ found.T).max(axis=1).min()) - REJECT_MARGIN
         rows = len(found)
         return pa.table(
             {

@@ -15,6 +15,9 @@ COLUMNS = {
     "op8_line_dedup": "doc_id:bigint n_lines:int n_left:int emptied:boolean text_sha256:string",
     "op9_exact_dedup": "doc_id:bigint keep_id:bigint group_size:bigint kept:boolean text_sha256:string",
     "op10_sentencepiece": "doc_id:bigint n_ids:bigint ids_sha256:string restored:boolean",
+    "op11_conversation_repair": "conv_id:bigint gaps:bigint blank:bigint duplicate:bigint truncated:bigint illegal:bigint cost:bigint audit:string repaired_sha256:string",
+    "op12_hard_negatives": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
+    "op13_sharding": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int home_shard:int",
     "pipeline": "doc_id:bigint lang:string source:string n_ids:bigint ids:array<int>",
 }
 
@@ -41,7 +44,7 @@ def test_equals_sql(spark, small, twin, name):
     assert got
 
 
-@pytest.mark.parametrize("name", ["op2_minhash_neardup", "op3_source_mix", "op4_toxicity", "op5_quality", "op7_language_id", "op8_line_dedup", "op10_sentencepiece"])
+@pytest.mark.parametrize("name", ["op2_minhash_neardup", "op3_source_mix", "op4_toxicity", "op5_quality", "op7_language_id", "op8_line_dedup", "op10_sentencepiece", "op13_sharding"])
 def test_one_row_per_document(spark, small, name):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = sorted(r["doc_id"] for r in QUERIES[name](spark, small).select("doc_id").collect())
