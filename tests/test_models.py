@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.conftest import rows
 from railmill.functions import labels
 from railmill.plans import core, intermediate, live, marts, performance, staging, timetable
 

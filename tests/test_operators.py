@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.conftest import rows
 from railmill.operators import aggregates, arrays, dedup, filters, joins, quality
 
 

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.conftest import rows
 from railmill.plans import live
 from railmill.session import shared_dir
 from railmill.sources.feeds import parse_messages, split_frames, typed_events

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.conftest import rows
 from railmill.sources import tables
 
 
