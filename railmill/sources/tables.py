@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railmill.functions import surrogate_key
 from railmill.functions.labels import DAY_FLAGS, PARQUET_ROWS_PER_FILE
 from railmill.operators.aggregates import PAGE_ROWS, ordered_pages
 from railmill.operators.joins import upsert
 from railmill.session import shared_dir
 
+if TYPE_CHECKING:
+    from railmill.sources.key_index import KeyIndex
+
 DAY = "ingest_date"
 
 
@@ -60,18 +66,18 @@ def materialise(df: DataFrame, name: str, as_table: bool) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _file_system(spark, path)
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
     fs.delete(hadoop_path, True)
 
 
@@ -82,28 +88,40 @@ def merge_days(
     keys: list[str],
     ts: str = "ingest_ts",
     event_ts: str | None = None,
-) -> None:
-    """Upserts ``updates`` (one row per key) into a day-partitioned table.
+    index: KeyIndex | None = None,
+    announce: Callable[[set[dt.date]], None] = lambda days: None,
+) -> set[dt.date]:
+    """Upserts ``updates`` (one row per key) into a day-partitioned table and returns the days it rewrote.
 
     Only days that hold a matching key, or receive a row, are rewritten: the cost follows
-    the touched days, not the table. ``event_ts`` may name an event time that is part of the key:
-    a row of the same key cannot have arrived before it, so days before the earliest event of the
-    updates (less one day for clocks that differ) are not even read. The list of days is all that
-    reaches the driver. A rerun with the same updates gives the same table, so a lost run is
-    simply repeated. The updates are stored while the merge lasts, because several steps read them.
+    the touched days, not the table. ``index`` (key -> day, of this table) tells where matching keys lie, so
+    no history is scanned and no event time trusted. Without it, ``event_ts`` may name an event time that is
+    part of the key: a row of the same key cannot have arrived before it, so days before the earliest event of the
+    updates (less one day for clocks that differ) are not even read; that misses rows whose clock was further ahead.
+    The list of days is all that reaches the driver; ``announce`` gets it before anything is written. A rerun with the
+    same updates gives the same table, so a lost run is simply repeated. The updates are stored while the merge
+    lasts, because several steps read them.
     """
     new = with_ingest_date(updates, ts)
-    if not path_exists(spark, path):
-        new.write.mode("overwrite").partitionBy(DAY).parquet(path)
-        return
     staged = shared_dir(spark, "merge")
     try:
         new.write.parquet(staged)
         new = spark.read.schema(new.schema).parquet(staged)
-        table = spark.read.schema(new.schema).parquet(path)
-        hit = matching_days(table, new, keys, None if event_ts is None else earliest_day(new, event_ts))
-        old_days = {row[0] for row in hit.distinct().collect()}
         new_days = {row[0] for row in new.select(DAY).distinct().collect()}
+        entries = new.select(key_text(keys).alias("key"), F.col(DAY).alias("day"))
+        known = path_exists(spark, path)
+        if index is not None:
+            old_days = index.days(entries)
+            index.add(entries)  # before the rows: an entry too many does no harm
+        elif known:
+            table = spark.read.schema(new.schema).parquet(path)
+            hit = matching_days(table, new, keys, None if event_ts is None else earliest_day(new, event_ts))
+            old_days = {row[0] for row in hit.distinct().collect()}
+        announce((old_days if known else set()) | new_days)
+        if not known:
+            new.write.mode("overwrite").partitionBy(DAY).parquet(path)
+            return new_days
+        table = spark.read.schema(new.schema).parquet(path)
         touched = sorted(old_days | new_days)
         merged = upsert(table.filter(F.col(DAY).isin(touched)), new, keys)
         merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -116,10 +134,16 @@ def merge_days(
             rows = spark.read.schema(new.schema).parquet(path).filter(F.col(DAY).isin(left))
             stay = rows.join(new.select(*keys), keys, "left_anti").select(DAY).distinct()
             for day in set(left) - {row[0] for row in stay.collect()}:
-                _delete(spark, f"{path}/{DAY}={day.isoformat()}")
+                delete(spark, f"{path}/{DAY}={day.isoformat()}")
             spark.catalog.refreshByPath(path)
+        return old_days | new_days
     finally:
-        _delete(spark, staged)
+        delete(spark, staged)
+
+
+def key_text(keys: list[str]) -> Column:
+    """One text for a key of one or more columns, as a key index holds it."""
+    return F.col(keys[0]).cast("string") if len(keys) == 1 else surrogate_key(*keys)
 
 
 def earliest_day(updates: DataFrame, event_ts: str) -> dt.date | None:
