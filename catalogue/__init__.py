@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scans", "scalars", "predicates", "relational", "products", "streams")
+MODULES = ("scans", "scalars", "predicates", "relational", "products", "streams", "daily")
 
 
 def load_all() -> None:

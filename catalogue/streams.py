@@ -70,7 +70,7 @@ def routed_output(t) -> str:
         case event_type when 'view' then 'JSONDecodeError' when 'signup' then 'unknown msg_type=0004' end as reason from events""",
 )
 def _(t):
-    rows = t.spark.read.parquet(routed_output(t))
+    rows = route.read_routed(t.spark, routed_output(t))
     train = F.coalesce(
         F.get_json_object("value", "$.train_id"), F.get_json_object("value", "$.raw.body.train_id")
     )
@@ -87,9 +87,8 @@ def _(t):
     out = shared_dir(t.spark, "tables")
     frames = messages(Stream(t, "events"))
     run(route.table_stream(frames, out, shared_dir(t.spark, "ck"), available_now=True))
-    schema = "train_id string, ingest_ts timestamp"
     rows = [
-        t.spark.read.schema(schema).parquet(f"{out}/{topic}").select(F.lit(topic).alias("topic"), "train_id", "ingest_ts")
+        route.read_table(t.spark, out, topic).select(F.lit(topic).alias("topic"), "train_id", "ingest_ts")
         for topic in TOPICS.values()
     ]
     return reduce(DataFrame.unionByName, rows)
@@ -105,7 +104,7 @@ def _(t):
     frames = messages(Stream(t, "events"))
     run(route.table_stream(frames, out, shared_dir(t.spark, "ck"), available_now=True))
     rows = [
-        t.spark.read.schema("train_id string").parquet(f"{out}/{topic}").select(F.lit(topic).alias("event_type"))
+        route.read_table(t.spark, out, topic).select(F.lit(topic).alias("event_type"))
         for topic in TOPICS.values()
     ]
     return reduce(DataFrame.unionByName, rows).groupBy("event_type").agg(F.count("*").alias("messages"))
@@ -202,7 +201,7 @@ def _(t):
     "select count(*) as messages, count(*) filter (event_type = 'view') as undecodable from events",
 )
 def _(t):
-    rows = t.spark.read.parquet(routed_output(t))
+    rows = route.read_routed(t.spark, routed_output(t))
     bad = F.get_json_object("value", "$.reason") == "JSONDecodeError"
     return rows.agg(F.count("*").alias("messages"), F.count_if(bad).alias("undecodable"))
 

@@ -6,6 +6,8 @@ stream, and one bad message never stops the others.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,9 +133,11 @@ def dead_letter_json(body: str = "value") -> Column:
     return F.when(F.col("reason") == "JSONDecodeError", as_text).otherwise(kept)
 
 
-def route_messages(messages: DataFrame, body: str = "value", ingest_ts: str = "ingest_ts") -> DataFrame:
-    """One ``(topic, value)`` row per message: typed JSON, or a dead letter with its reason."""
+def route_messages(
+    messages: DataFrame, body: str = "value", ingest_ts: str = "ingest_ts", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One ``(topic, value)`` row per message: typed JSON, or a dead letter with its reason; ``keep`` names more columns."""
     value = F.when(F.col("reason").isNotNull(), dead_letter_json(body))
     for code, event in MESSAGE_TYPES.items():
         value = value.when(F.col("msg_type") == code, typed_json(event, ingest_ts))
-    return messages.select("topic", value.alias("value"))
+    return messages.select("topic", value.alias("value"), *keep)

@@ -24,6 +24,7 @@ from railmill.operators.dedup import first_k, remaining_order
 from railmill.operators.filters import not_stale
 from railmill.schemas import TRAIL_POINT
 from railmill.streaming import sinks
+from railmill.streaming.table_log import HOUR, LoggedTable, hour_of
 
 # Python workers get the processor itself; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,7 +37,6 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-HOUR_TEXT, NO_HOUR = "yyyy-MM-dd-HH", "0000-00-00-00"
 FIELDS = [
     "train_uid", "toc_name", "latitude", "longitude", "location_name", "next_station", "planned_event_type",
     "planned_timestamp", "timetable_variation", "variation_status", "event_type",
@@ -46,7 +46,7 @@ OUTPUT = f"""
     next_station string, planned_event_type string, planned_timestamp string, timetable_variation bigint,
     variation_status string, event_type string, trail string, last_update string
 """
-HOUR = "update_hour"
+BATCH = "batch_id"
 
 
 class LiveTrain(StatefulProcessor):
@@ -120,7 +120,7 @@ def live_updates(
 def live_state_stream(
     enriched: DataFrame, out: str, checkpoint: str, stale_minutes: int | None = LIVE_STALE_MINUTES, **trigger
 ) -> StreamingQuery:
-    """Writes the states of every micro-batch under the hour of their update and its number.
+    """Writes the states of every micro-batch by the hour of their update, each with the number of its batch.
 
     A query takes its settings when it starts, so the session gets its own back afterwards.
     """
@@ -129,13 +129,14 @@ def live_state_stream(
     for key, value in STREAM_SETTINGS.items():
         conf.set(key, value)
     try:
-        hour = F.coalesce(F.date_format("last_update", HOUR_TEXT), F.lit(NO_HOUR))
+        table = LoggedTable(enriched.sparkSession, out)
+
+        def handle(batch: DataFrame, number: int) -> None:
+            numbered = batch.withColumns({BATCH: F.lit(number).cast("bigint"), HOUR: hour_of("last_update")})
+            table.write(numbered, number, checkpoint)
+
         return sinks.start(
-            live_updates(enriched, stale_minutes=stale_minutes),
-            lambda batch, n: sinks.write_batch(batch.withColumn(HOUR, hour), n, out, [HOUR]),
-            checkpoint,
-            output_mode="update",
-            **trigger,
+            live_updates(enriched, stale_minutes=stale_minutes), handle, checkpoint, output_mode="update", **trigger
         )
     finally:
         for key, value in before.items():
@@ -143,16 +144,18 @@ def live_state_stream(
 
 
 def read_live_states(spark: SparkSession, out: str, as_of: dt.datetime | None = None) -> DataFrame:
-    """The newest state per train; ``as_of`` leaves out trains silent for too long before it.
+    """The newest state per train; with ``as_of`` as it was at that moment, without trains silent for too long before it.
 
-    With ``as_of`` only the hours are read in which a state that is not stale can have been written.
+    With ``as_of`` only the hours are listed and read in which such a state can have been written: a state is the newest
+    of those updated up to that moment, whatever came later.
     """
-    written = spark.read.parquet(out)
-    written = written.withColumn(HOUR, F.col(HOUR).cast("string"))
-    if as_of is not None:
-        first = as_of - dt.timedelta(minutes=LIVE_STALE_MINUTES)
-        written = written.filter(F.col(HOUR) >= first.strftime("%Y-%m-%d-%H"))
+    table = LoggedTable(spark, out)
+    if as_of is None:
+        written = table.read()
+    else:
+        first, last = ((as_of - dt.timedelta(minutes=m)).strftime("%Y-%m-%d-%H") for m in (LIVE_STALE_MINUTES, 0))
+        written = not_stale(table.read(lambda values: first <= values[-1] <= last), as_of)
+        written = written.filter(F.col("last_update") <= F.lit(as_of))
     written = written.drop(HOUR)
-    order = [F.col(sinks.BATCH).desc(), *remaining_order(written, {"train_id", sinks.BATCH, "trail"})]
-    states = first_k(written, ["train_id"], order, 1).drop(sinks.BATCH)
-    return states if as_of is None else not_stale(states, as_of)
+    order = [F.col(BATCH).desc(), *remaining_order(written, {"train_id", BATCH, "trail"})]
+    return first_k(written, ["train_id"], order, 1).drop(BATCH)

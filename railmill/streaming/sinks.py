@@ -1,4 +1,7 @@
-"""Batch-numbered output: a replayed micro-batch replaces its own files, nothing else."""
+"""Streaming queries over micro-batches; output goes to logged tables (see ``table_log``) or under batch numbers.
+
+Under batch numbers a replayed micro-batch replaces its own files, nothing else.
+"""
 
 from __future__ import annotations
 
