@@ -35,6 +35,15 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A column name that clashes with none of ``columns``, upper or lower case."""
+    taken = {c.lower() for c in columns}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves remainder 0; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
