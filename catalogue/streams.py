@@ -216,6 +216,47 @@ def _(t):
     return live.live_board(live_output(t), "click")
 
 
+MOMENTS = [dt.datetime(2024, 1, 12), dt.datetime(2024, 1, 22), dt.datetime(2024, 2, 1, 12)]
+WINDOW = 3 * 24 * 60
+PARTS = 3
+
+
+def _moments_sql() -> str:
+    """States after each of three micro-batches, as far as it touched a train, seen at three moments."""
+    last = f"cast(floor((select max(event_id) + 1 from events) * {{}} / {PARTS}) as bigint)"
+    written = " union all ".join(
+        f"""select {n} as b, user_id, arg_min(event_type, r) as location_name, max(ts) as last_update, count(*) as points
+            from (select *, row_number() over (partition by user_id order by event_id desc) as r from events
+                  where event_type <> 'error' and event_id < {last.format(n + 1)})
+            where r <= 20 group by user_id having max(event_id) >= {last.format(n)}"""
+        for n in range(PARTS)
+    )
+    moments = " union all ".join(f"select timestamp '{m}' as as_of" for m in MOMENTS)
+    return f"""with written as ({written}), moments as ({moments})
+        select cast(as_of as varchar) as as_of, cast(user_id as varchar) as train_id, location_name, points, cast(last_update as varchar) as last_update
+        from written join moments on last_update between as_of - interval '{WINDOW}' minute and as_of
+        qualify row_number() over (partition by as_of, user_id order by b desc) = 1"""
+
+
+@query("l05_live_board_moments", _moments_sql())
+def _(t):
+    """The board at a past, a present and a late moment, from a stream of three micro-batches."""
+    source, out = shared_dir(t.spark, "parts"), shared_dir(t.spark, "live")
+    last = t.events.agg(F.max("event_id") + 1).first()[0]
+    for n in range(PARTS):
+        part = t.events.filter((C("event_id") >= last * n // PARTS) & (C("event_id") < last * (n + 1) // PARTS))
+        part.coalesce(1).write.parquet(f"{source}/{n}")
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    run(live_state.live_state_stream(positions(stream), out, shared_dir(t.spark, "ck"), available_now=True))
+    boards = [
+        live_state.read_live_states(t.spark, out, m, WINDOW).select(
+            F.lit(str(m)).alias("as_of"), "train_id", "location_name", F.size("trail").cast("bigint").alias("points"), "last_update"
+        )
+        for m in MOMENTS
+    ]
+    return reduce(DataFrame.unionByName, boards)
+
+
 # ---- data quality ---------------------------------------------------------------------------------------
 
 

@@ -33,9 +33,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # without this an available-now run with expiry keeps adding empty micro-batches
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 FIELDS = [
     "train_uid", "toc_name", "latitude", "longitude", "location_name", "next_station", "planned_event_type",
@@ -44,7 +43,7 @@ FIELDS = [
 OUTPUT = f"""
     train_id string, train_uid string, toc_name string, latitude double, longitude double, location_name string,
     next_station string, planned_event_type string, planned_timestamp string, timetable_variation bigint,
-    variation_status string, event_type string, trail string, last_update string
+    variation_status string, event_type string, trail string, last_update string, expired boolean
 """
 BATCH = "batch_id"
 
@@ -58,7 +57,8 @@ class LiveTrain(StatefulProcessor):
         self.fields = fields
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("live", "records string", self.expiry_ms)
+        self.handle = handle
+        self.state = handle.getValueState("live", "records string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         kept = json.loads(self.state.get()[0]) if self.state.exists() else []
@@ -70,18 +70,33 @@ class LiveTrain(StatefulProcessor):
             kept = heapq.nlargest(self.points, kept + added, key=lambda record: record[0])
         kept.sort(key=lambda record: record[0])
         self.state.update((json.dumps(kept, default=str),))
-        row = {"train_id": key[0], **dict(zip(self.fields, kept[-1][1]))}
+        if self.expiry_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expiry_ms)
+        row = {"train_id": key[0], "expired": False, **dict(zip(self.fields, kept[-1][1]))}
         lon, lat = self.fields.index("longitude"), self.fields.index("latitude")
         row["trail"] = json.dumps([{"longitude": v[lon], "latitude": v[lat]} for _, v, _ in kept])
         row["last_update"] = max((at for *_, at in kept if at is not None), default=None)
         yield pd.DataFrame([row])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The train was silent for too long: its state goes, and a last row says so."""
+        kept = json.loads(self.state.get()[0]) if self.state.exists() else []
+        self.state.clear()
+        newest = max((at for *_, at in kept if at is not None), default=None)
+        if newest is not None:
+            silent = dt.datetime.strptime(newest, "%Y-%m-%d %H:%M:%S.%f") + dt.timedelta(milliseconds=self.expiry_ms)
+            newest = silent.strftime("%Y-%m-%d %H:%M:%S.%f")
+        row = dict.fromkeys(self.fields) | {"train_id": key[0], "trail": None, "last_update": newest, "expired": True}
+        yield pd.DataFrame([row]).astype(object)
+
     def close(self) -> None:
         pass
 
 
 def live_updates(
-    enriched: DataFrame, points: int = LIVE_TRAIL_POINTS, stale_minutes: int | None = LIVE_STALE_MINUTES
+    enriched: DataFrame, points: int = LIVE_TRAIL_POINTS, stale_minutes: float | None = LIVE_STALE_MINUTES
 ) -> DataFrame:
     """Streaming states of the trains each micro-batch touched.
 
@@ -89,8 +104,8 @@ def live_updates(
     must compare across the rows of a train: a log offset does if the log is keyed by train, which
     puts a train into one partition; else use a message number. ``last_update`` is the newest arrival
     time of the records held, so a replayed micro-batch gives the same state. Rows without a train
-    id or coordinates are ignored. The state itself expires ``stale_minutes`` of processing time
-    after the last update, which also resets the trail; None keeps it for ever.
+    id or coordinates are ignored. A train that is silent for ``stale_minutes`` of processing time loses its state, trail
+    included, and a row with ``expired`` set says so, dated so long after its last update; None keeps states for ever.
     """
     located = enriched.filter(
         (F.col("train_id") != "") & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
@@ -101,7 +116,7 @@ def live_updates(
         F.date_format(F.col("ingest_ts").cast("timestamp"), TIME_TEXT).alias("arrived_at"),
         *[F.col(c).cast("string").alias(c) if c == "planned_timestamp" else F.col(c) for c in FIELDS],
     )
-    expiry = None if stale_minutes is None else stale_minutes * 60_000
+    expiry = None if stale_minutes is None else int(stale_minutes * 60_000)
     states = slim.groupBy("train_id").transformWithStateInPandas(
         statefulProcessor=LiveTrain(points, expiry, FIELDS),
         outputStructType=OUTPUT,
@@ -118,15 +133,17 @@ def live_updates(
 
 
 def live_state_stream(
-    enriched: DataFrame, out: str, checkpoint: str, stale_minutes: int | None = LIVE_STALE_MINUTES, **trigger
+    enriched: DataFrame, out: str, checkpoint: str, stale_minutes: float | None = LIVE_STALE_MINUTES, **trigger
 ) -> StreamingQuery:
     """Writes the states of every micro-batch by the hour of their update, each with the number of its batch.
 
     A query takes its settings when it starts, so the session gets its own back afterwards.
     """
     conf = enriched.sparkSession.conf
-    before = {key: conf.get(key, None) for key in STREAM_SETTINGS}
-    for key, value in STREAM_SETTINGS.items():
+    # timers need micro-batches without rows; an available-now run would keep adding them
+    settings = STREAM_SETTINGS | {NO_DATA: "false" if trigger.get("available_now") else "true"}
+    before = {key: conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         conf.set(key, value)
     try:
         table = LoggedTable(enriched.sparkSession, out)
@@ -143,8 +160,12 @@ def live_state_stream(
             conf.unset(key) if value is None else conf.set(key, value)
 
 
-def read_live_states(spark: SparkSession, out: str, as_of: dt.datetime | None = None) -> DataFrame:
-    """The newest state per train; with ``as_of`` as it was at that moment, without trains silent for too long before it.
+def read_live_states(
+    spark: SparkSession, out: str, as_of: dt.datetime | None = None, stale_minutes: int = LIVE_STALE_MINUTES
+) -> DataFrame:
+    """The newest state per train that has not expired; with ``as_of`` as it was at that moment.
+
+    A train silent for ``stale_minutes`` before ``as_of`` is left out, whether its expiry was written by then or not.
 
     With ``as_of`` only the hours are listed and read in which such a state can have been written: a state is the newest
     of those updated up to that moment, whatever came later.
@@ -153,9 +174,10 @@ def read_live_states(spark: SparkSession, out: str, as_of: dt.datetime | None =
     if as_of is None:
         written = table.read()
     else:
-        first, last = ((as_of - dt.timedelta(minutes=m)).strftime("%Y-%m-%d-%H") for m in (LIVE_STALE_MINUTES, 0))
-        written = not_stale(table.read(lambda values: first <= values[-1] <= last), as_of)
+        first, last = ((as_of - dt.timedelta(minutes=m)).strftime("%Y-%m-%d-%H") for m in (stale_minutes, 0))
+        written = not_stale(table.read(lambda values: first <= values[-1] <= last), as_of, minutes=stale_minutes)
         written = written.filter(F.col("last_update") <= F.lit(as_of))
     written = written.drop(HOUR)
     order = [F.col(BATCH).desc(), *remaining_order(written, {"train_id", BATCH, "trail"})]
-    return first_k(written, ["train_id"], order, 1).drop(BATCH)
+    newest = first_k(written, ["train_id"], order, 1)
+    return newest.filter(~F.coalesce("expired", F.lit(False))).drop(BATCH, "expired")

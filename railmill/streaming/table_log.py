@@ -98,9 +98,12 @@ class LoggedTable:
             if state["batches"].get(source, -1) >= batch:
                 raise ConflictError(f"batch {batch} of {source} is in the table")
 
-        if self.state()["batches"].get(source, -1) >= batch:
+        now = self.state()
+        if now["batches"].get(source, -1) >= batch:
             return
-        self._commit(self._write(df), set(), df.schema, check, batch=batch, source=source)
+        added = self._write(df)
+        if added or now["schema"] is None:  # a batch without rows needs no entry, but for the first, which tells the schema
+            self._commit(added, set(), df.schema, check, batch=batch, source=source)
 
     def compact(self, before: str, rows_per_file: int = 1_000_000) -> int:
         """Rewrites every partition of an hour before ``before`` that several commits filled; returns their number.

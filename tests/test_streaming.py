@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from railmill.plans import live
+from railmill.plans.incremental import Run
 from railmill.session import shared_dir
 from railmill.sources.feeds import parse_messages, split_frames, typed_events
 from railmill.streaming import enrich, live_state, route, sinks
@@ -150,3 +152,59 @@ def test_enrich_stream_sees_refreshed_lookups(spark):
         (4, None, None, "B", "A", "Seven"),
     ]
     assert len(calls) >= 2
+
+
+def test_a_silent_train_leaves_the_board_by_its_tombstone(spark):
+    batch = positions(spark, 12)
+    path, out = shared_dir(spark, "pos"), shared_dir(spark, "out")
+    batch.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(batch.schema).parquet(path)
+    query = live_state.live_state_stream(stream, out, shared_dir(spark, "ck"), stale_minutes=0.1, interval="1 second")
+    trains = {r.train_id for r in batch.filter("latitude is not null").select("train_id").distinct().collect()}
+    try:
+        deadline, tombs = time.monotonic() + 150, set()
+        while tombs != trains and time.monotonic() < deadline and query.isActive:
+            time.sleep(2)
+            if LoggedTable(spark, out).exists():
+                tombs = {r.train_id for r in LoggedTable(spark, out).read().filter("expired").collect()}
+    finally:
+        query.stop()
+    assert tombs == trains and live_state.read_live_states(spark, out).count() == 0
+    newest = {r.train_id: r["at"] for r in batch.filter("latitude is not null").groupBy("train_id").agg(F.max("ingest_ts").alias("at")).collect()}
+    told = {r.train_id: r.last_update for r in LoggedTable(spark, out).read().filter("expired").collect()}
+    assert told == {t: at + dt.timedelta(seconds=6) for t, at in newest.items()}
+    at = max(newest.values())
+    assert at in {r.last_update for r in live_state.read_live_states(spark, out, at).collect()}  # as it was then
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_lookups_are_read_anew_only_with_a_new_version(spark):
+    warehouse = shared_dir(spark, "warehouse")
+
+    def publish(n, name):
+        run = Run(spark, warehouse, dt.datetime(2024, 1, n, 2))
+        places = f"select 1L as station_id, '{name}' as location_name, 50.0D as latitude, 0.5D as longitude union all select 2L, 'B', 51.0D, 0.0D"
+        run.store("lookups", "live_places", spark.sql(places))
+        run.store("lookups", "live_schedules", spark.sql("select '1A23' as train_signalling_id, 'U1' as train_uid"))
+        run.store("core", "dim_toc", spark.sql("select 7 as toc_operating_code, 'Seven' as toc_name"))
+        run.finish()
+
+    movements = spark.createDataFrame([("xx1A23", 1, 2, 7)], "train_id string, loc_stanox bigint, next_report_stanox bigint, toc_id bigint")
+    lookups = enrich.VersionedLookups(spark, warehouse)
+    with pytest.raises(FileNotFoundError):
+        lookups()
+
+    def enriched():
+        return live.enrich_movements(movements, *lookups())
+
+    def names():
+        return [r["location_name"] for r in enriched().collect()]
+
+    publish(1, "A")
+    assert names() == ["A"] and lookups() is lookups()
+    plan = enriched()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryTableScan") == 4  # places in two roles, schedules, operators; no file is opened
+    publish(2, "renamed")
+    assert names() == ["renamed"]
+    publish(3, "again")  # two versions are kept, so held ones can still be read
+    assert names() == ["again"]

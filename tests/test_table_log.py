@@ -77,8 +77,11 @@ def test_lost_writers_leave_nothing_and_two_compactions_do_not_double(spark, tmp
     with pytest.raises(ConflictError):
         slow.compact("2025")
     assert ids(table.read()) == want
-    table.write(spark.createDataFrame([], f"id bigint, {HOUR} string"), 3, "q")  # an empty batch is a batch
-    assert table.state()["batches"] == {"q": 3} and ids(table.read()) == want
+    table.write(spark.createDataFrame([], f"id bigint, {HOUR} string"), 3, "q")  # a batch without rows
+    assert table.state()["batches"] == {"q": 2} and ids(table.read()) == want
+    empty = LoggedTable(spark, str(tmp_path / "empty"))
+    empty.write(spark.createDataFrame([], f"id bigint, {HOUR} string"), 0, "q")
+    assert empty.read().columns == ["id", HOUR] and ids(empty.read()) == []
 
 
 def test_routed_topics_and_raw_tables_are_compacted_by_hour(spark, tmp_path):
@@ -102,11 +105,16 @@ def test_routed_topics_and_raw_tables_are_compacted_by_hour(spark, tmp_path):
 
 def test_states_as_of_a_moment(spark, tmp_path):
     """A train written at 10:00 and 12:00 shows its state of 10:00 at 10:02, and nothing at 11:00."""
-    schema = "train_id string, location_name string, last_update timestamp"
+    schema = "train_id string, location_name string, last_update timestamp, expired boolean"
     table = LoggedTable(spark, str(tmp_path / "t"))
     at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
     for n, data in enumerate(
-        [[("a", "early", at(10, 0)), ("b", "b1", at(9, 58))], [("b", "b2", at(10, 1))], [("a", "late", at(12, 0)), ("c", "c1", at(12, 3))]]
+        [
+            [("a", "early", at(10, 0), False), ("b", "b1", at(9, 58), False)],
+            [("b", "b2", at(10, 1), False)],
+            [("a", "late", at(12, 0), False), ("c", "c1", at(12, 3), False)],
+            [("b", None, at(10, 6), True)],  # silent for five minutes
+        ]
     ):
         df = spark.createDataFrame(data, schema).withColumn(live_state.BATCH, F.lit(n).cast("bigint"))
         table.write(df.withColumn(HOUR, table_log.hour_of("last_update")), n, "q")
@@ -119,7 +127,7 @@ def test_states_as_of_a_moment(spark, tmp_path):
         assert seen(at(10, 0)) == [("a", "early"), ("b", "b1")]
         assert seen(at(11, 0)) == [] == seen(at(9, 0)) == seen(at(13, 0))
         assert seen(at(12, 4)) == [("a", "late"), ("c", "c1")]
-        assert seen(None) == [("a", "late"), ("b", "b2"), ("c", "c1")]
+        assert seen(None) == [("a", "late"), ("c", "c1")]
         table.compact("2025")
     hours = files_of(live_state.read_live_states(spark, str(tmp_path / "t"), at(10, 2)))
     assert set(hours) == {"2024-01-01-09", "2024-01-01-10"} - ({"2024-01-01-09"} if at(10, 2) - dt.timedelta(minutes=5) >= at(10, 0) else set())
