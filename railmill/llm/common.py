@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railmill.session import shared_dir
+from railmill.sources.tables import delete
 
 WORD = r"[^\x20\x09-\x0D]+"
 FOLDS = 5
@@ -17,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# folders of steps by application, of the pipeline stage that ran last
+_HELD: dict[str, list[str]] = defaultdict(list)
+_STAGE: ContextVar[list[str] | None] = ContextVar("stage", default=None)
+
+
 class Scratch:
     """Tables written once below the folder all executors share, and read back.
 
@@ -27,6 +37,8 @@ class Scratch:
         self.spark = spark
         self.path = shared_dir(spark, purpose)
         self._n = 0
+        if _STAGE.get() is not None:
+            _STAGE.get().append(self.path)
 
     def keep(self, df: DataFrame, name: str = "step") -> DataFrame:
         self._n += 1
@@ -35,6 +47,23 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def stage(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A pipeline stage: its steps are deleted when the next stage starts, for its result has been written by then."""
+
+    @wraps(fn)
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        held = _HELD[spark.sparkContext.applicationId]
+        while held:
+            delete(spark, held.pop())
+        token = _STAGE.set(held)
+        try:
+            return fn(spark, docs, sf_dir)
+        finally:
+            _STAGE.reset(token)
+
+    return staged
+
+
 def unused(columns: list[str], name: str) -> str:
     """A column name that clashes with none of ``columns``, upper or lower case."""
     taken = {c.lower() for c in columns}
