@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from railmill.llm.common import Scratch, partitions
+from railmill.llm.common import Scratch, partitions, unused
 from railmill.llm.tokens import Block, blocks, words
 
 # Sources whose totals may come to the driver: about 100 bytes each.
@@ -257,9 +257,12 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     plan = mixture.scratch.keep(plan.withColumn("_k", F.row_number().over(alike)).drop("nth"), "plan").alias("p")
 
     sids = mixture.quotas.select(F.col("sid").alias("_sid"), F.col("source").alias("_source"))
+    # the caller's row is one column, so its names clash with nothing
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
     own = docs.select(
-        *columns, mixture.order_hash().alias("_h"), F.col("doc_id").cast("bigint").alias("_id")
-    ).join(sids, F.col("source").cast("string").eqNullSafe(F.col("_source")))
+        row.alias("_row"), mixture.order_hash().alias("_h"), F.col("doc_id").cast("bigint").alias("_id"),
+        F.col("source").cast("string").alias("_own"),
+    ).join(sids, F.col("_own").eqNullSafe(F.col("_source")))
     own = own.withColumn("_n", F.row_number().over(Window.partitionBy("_h", "_id", "_sid").orderBy("_h"))).alias("o")
     same = (
         (F.col("o._h") == F.col("p._h"))
@@ -267,14 +270,16 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
         & (F.col("o._sid") == F.col("p._sid"))
         & (F.col("o._n") - F.col("p._k") == 0)  # not a key of the shuffle
     )
-    taken = own.join(plan, same).select(*[f"o.{c}" for c in columns], "o._h", F.explode("p._copies").alias("_c"))
+    taken = own.join(plan, same).select("o._row", "o._h", F.explode("p._copies").alias("_c"))
+    field = F.col("_row").getField
     cut = F.col("_c.words") < F.col("_c.size")
-    first = F.pandas_udf(_first_words, "string")(F.when(cut, F.col("text")), F.col("_c.words"))
-    replaced = {"text": F.when(cut, first).otherwise(F.col("text"))}
+    first = F.pandas_udf(_first_words, "string")(F.when(cut, field("text")), F.col("_c.words"))
+    replaced = {"text": F.when(cut, first).otherwise(field("text"))}
     if "n_chars" in columns:
-        replaced["n_chars"] = F.when(cut, F.length(first).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        replaced["n_chars"] = F.when(cut, F.length(first).cast(docs.schema["n_chars"].dataType)).otherwise(field("n_chars"))
+    place = unused(columns, "order")
+    order = F.xxhash64(F.lit(mixture.seed), "_h", "_c.copy").alias(place)
     shard = F.col("_c.shard").alias("mix_shard")
-    order = F.xxhash64(F.lit(mixture.seed), "_h", "_c.copy").alias("_order")
-    rows = taken.select(*[replaced.get(c, F.col(c)).alias(c) for c in columns], shard, order)
-    rows = rows.repartition(partitions(mixture.spark), "mix_shard").sortWithinPartitions("mix_shard", "_order")
-    return rows.drop("_order")
+    rows = taken.select(*[replaced.get(c, field(c)).alias(c) for c in columns], shard, order)
+    rows = rows.repartition(partitions(mixture.spark), "mix_shard").sortWithinPartitions("mix_shard", place)
+    return rows.drop(place)

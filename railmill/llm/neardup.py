@@ -109,8 +109,8 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for block in blocks(batch.column(1)):
+        ids, whole = batch.column(0), batch.column(1)
+        for block in blocks(batch.column(2)):
             sets, bounds = shingle_sets(block, size)
             signature = super_minhash(sets, bounds, bands * rows)
             digests = [as_long(segment_sums(mix(sets ^ U64(salt)), bounds)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
@@ -119,19 +119,20 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(block.first, block.rows),
+                    whole.slice(block.first, block.rows),
                     pa.array(np.diff(bounds).astype(np.int64)),
                     *[pa.array(d) for d in digests],
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+                names=["doc_id", "t", "n_shingles", "d1", "d2", "bands"],
             )
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """Per document the size of its shingle set, a 128-bit digest of it and band keys."""
-    return docs.select("doc_id", "text").mapInArrow(
+    """Per document ``(doc_id, t, text)`` the size of its shingle set, a 128-bit digest of it and band keys."""
+    return docs.select("doc_id", "t", "text").mapInArrow(
         lambda batches: _signed(batches, shingle, bands, rows),
-        "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>",
+        "doc_id bigint, t bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>",
     )
 
 
@@ -171,7 +172,7 @@ def _compared(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
             )
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def _compare(pairs: DataFrame, texts: DataFrame, sets: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs ``(a, b, n)`` with the size of a's set, whether they are linked, and how they differ.
 
     The members of a centre are dealt over shares of bounded size, each with a copy of the
@@ -193,7 +194,8 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratc
         F.lit(0).alias("role"),
         F.col("b").alias("node"),
     )
-    needed = texts.select(F.col("doc_id").alias("node"), "text").join(members.unionByName(heads), "node")
+    wanted = members.unionByName(heads).join(sets.select("node", F.col("doc").alias("doc_id"), "t"), "node")
+    needed = texts.join(wanted, ["doc_id", "t"])
     return (
         needed.select("centre", "share", "role", "node", "text")
         .repartition(partitions(spark), "centre", "share")
@@ -256,13 +258,13 @@ def _further_links(compared: DataFrame, labels: DataFrame, percent: int, scratch
     return both.filter((total - apart) * 100 >= (total + apart) * percent).select("a", F.col("c").alias("b"))
 
 
-def _groups(buckets: DataFrame, texts: DataFrame, known: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def _groups(buckets: DataFrame, texts: DataFrame, sets: DataFrame, known: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """``(node, label)`` of all nodes with links; ``buckets`` has (key, node, n), ``known`` more links."""
     shared = buckets.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last")
     shared = scratch.keep(shared.select("key", "b"), "shared")
     members = buckets.join(shared, "key").filter("node <> b")
     pairs = scratch.keep(members.groupBy(F.col("node").alias("a"), "b").agg(F.max("n").alias("n")), "pairs")
-    compared = scratch.keep(_compare(pairs, texts, size, percent, scratch), "compared")
+    compared = scratch.keep(_compare(pairs, texts, sets, size, percent, scratch), "compared")
     links = scratch.keep(compared.filter("linked").select("a", "b").unionByName(known), "links")
     labels = scratch.keep(components(links, scratch), "labels")
     more = scratch.keep(_further_links(compared, labels, percent, scratch), "more")
@@ -289,18 +291,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     one comparison.
     """
     scratch = Scratch(docs.sparkSession, "neardup")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     signed = scratch.keep(signatures(texts, shingle, *banding(percent)), "signed")
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
-    same_set = scratch.keep(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "sets")
-    first = signed.withColumnRenamed("doc_id", "node").join(same_set, ["d1", "d2", "node"], "left_semi")
+    # a node is a set; its text is that of its smallest document, told by a digest from other texts of that document
+    sets = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.min_by("t", "doc_id").alias("t"))
+    sets = scratch.keep(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+    first = signed.join(sets.select("d1", "d2", F.col("doc").alias("doc_id"), "t", "node"), ["d1", "d2", "doc_id", "t"])
     buckets = first.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
     # a doc_id whose rows hold different texts joins the sets of all of them
-    stands_for = filled.select("d1", "d2", "doc_id").join(same_set, ["d1", "d2"]).filter("doc_id <> node")
     several = filled.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).filter("x <> y")
-    bridges = stands_for.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    labels = scratch.keep(_groups(buckets, texts, bridges, shingle, percent, scratch), "groups")
-    of_set = same_set.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("component_id"))
+    stands_for = filled.join(several.select("doc_id"), "doc_id", "left_semi").join(sets.select("d1", "d2", "node"), ["d1", "d2"])
+    stands_for = scratch.keep(stands_for.select("doc_id", "node"), "several")
+    least = stands_for.groupBy("doc_id").agg(F.min("node").alias("b"))
+    bridges = stands_for.join(least, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b")
+    labels = scratch.keep(_groups(buckets, texts, sets, bridges, shingle, percent, scratch), "groups")
+    labelled = sets.select("d1", "d2", "doc", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = scratch.keep(labelled.drop("node"), "labelled")
+    smallest = labelled.groupBy("label").agg(F.min("doc").alias("component_id"))
+    of_set = labelled.join(smallest, "label").select("d1", "d2", "component_id")
     placed = signed.select("doc_id", "n_shingles", "d1", "d2").join(of_set, ["d1", "d2"], "left")
     has_set = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     component = F.when(has_set, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railmill.llm.common import unused
+
 # The trie is held by every Python worker: about 1 KB a rule, so 200 MB at the most.
 MAX_RULES = 200_000
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -128,5 +130,6 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", url:
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     address = F.col(f"`{url}`").cast("string")
     split = pages.select(*[F.col(f"`{c}`") for c in kept], host_of(address).alias("host"), path_of(address).alias("path"))
-    judged = split.withColumn("_judged", decide("host", "path"))
-    return judged.select(*[F.col(f"`{c}`") for c in kept], "host", "path", "_judged.rule", "_judged.verdict")
+    found = unused(kept, "judged")
+    judged = split.withColumn(found, decide("host", "path"))
+    return judged.select(*[F.col(f"`{c}`") for c in kept], "host", "path", f"`{found}`.rule", f"`{found}`.verdict")

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from railmill.llm import mixing
 from railmill.llm.mixing import Mixture, mix_documents, splitting_tree, targets
@@ -93,3 +94,14 @@ def test_odd_rows(spark, odd_documents):
     assert sum(len(WORD.findall(r["text"])) for r in mixed.collect()) == sum(r["taken"] for r in rows)
     assert Mixture(odd_documents.limit(0)).per_document().collect() == []
     assert mix_documents(odd_documents.limit(0)).collect() == []
+
+
+def test_names_of_other_columns_do_not_matter(spark, documents):
+    rows = [(i, f"some words of text {i}") for i in range(60)]
+    odd = {c: F.lit(i) for i, c in enumerate(("_id", "_h", "_source", "_n", "_sid", "_row", "_c", "_order", "_own", "a.b"))}
+    docs = documents(rows).withColumns(odd)
+    got = mix_documents(docs)
+    assert got.columns == [*docs.columns, "mix_shard"]
+    plain = mix_documents(documents(rows))
+    assert sorted((r["doc_id"], r["text"]) for r in got.select("doc_id", "text").collect()) == sorted((r["doc_id"], r["text"]) for r in plain.collect())
+    assert {tuple(r) for r in got.select("_id", "_order", "`a.b`").collect()} == {(0, 7, 9)}

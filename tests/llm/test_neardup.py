@@ -133,3 +133,11 @@ def test_bands_miss_few_pairs():
     for percent in (50, 60, 70, 80, 85, 90, 95, 99, 100):
         bands, rows = banding(percent)
         assert (1 - min(percent / 100, 0.99) ** rows) ** bands <= MISSED and bands * rows <= 256
+
+
+def test_every_text_of_a_repeated_id_keeps_its_links(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " q"), (3, b + " q"), (4, "something else entirely here now"), (0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as t", "2 as node", "3 as doc")
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(df, 3, 85).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (0, 0)}

@@ -47,3 +47,9 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id int, url string")
     assert [r["verdict"] for r in judge_urls(pages, [], default="block").collect()] == ["block"]
     assert judge_urls(pages.limit(0), RULES).collect() == []
+
+
+def test_a_column_of_any_name_stays(spark):
+    pages = spark.createDataFrame([(1, "http://www.org/x", "a", "b")], "page_id long, url string, _judged string, __judged string")
+    got = judge_urls(pages, RULES).first()
+    assert (got["_judged"], got["__judged"], got["verdict"]) == ("a", "b", "allow")
