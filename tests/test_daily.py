@@ -50,7 +50,7 @@ def test_a_day_can_be_run_again(spark, inputs, tmp_path):
     warehouse = str(tmp_path / "warehouse")
     first = contents(spark, run_daily(spark, warehouse, feeds, seeds, run_ts, dump))
     again = contents(spark, run_daily(spark, warehouse, feeds, seeds, run_ts, dump))
-    assert sorted(first) == sorted(again) and len(first) == 28
+    assert sorted(first) == sorted(again) and len(first) == 29
     assert {n for n in first if first[n] != again[n]} == set()
     keys = spark.read.parquet(f"{warehouse}/core/fact_train_movement").select("train_movement_id")
     assert keys.count() == keys.distinct().count() > 0
