@@ -126,8 +126,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, s
         "arc", "low", "high", F.get("wanted", F.lit(0)).alias("home"), F.explode(F.sequence(_cell(F.col("low")), _cell(F.col("high")))).alias("cell")
     )
     runs = scratch.keep(_runs(docs), "runs").withColumn("at", position(F.col("digest"))).withColumn("cell", _cell(F.col("at")))
-    # bounded by the ring: at most shards * vnodes + 1 + 2**CELL_BITS rows
-    located = runs.join(F.broadcast(cells), "cell").filter(F.col("at").between(F.col("low"), F.col("high")))
+    cells = scratch.keep(cells.coalesce(1), "cells")  # at most shards * vnodes + 1 + 2**CELL_BITS rows: small enough to be broadcast
+    located = runs.join(cells, "cell").filter(F.col("at").between(F.col("low"), F.col("high")))
     order = ["at", "digest", "doc_id", "chunk"]
     dealt = located.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     ordered = dealt.select(
@@ -148,7 +148,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, s
     starts = starts.withColumn("start", F.col("offset") + F.col("before"))
     meets = (F.col("start") < F.col("last")) & (F.col("start") + weight > F.col("first"))
     # bounded by the ring as well: an arc more for every shard that is cut
-    cut = starts.join(F.broadcast(pieces), "arc").filter(meets)
+    cut = starts.join(pieces, "arc").filter(meets)
 
     def copies_before(place: Column) -> Column:
         """Copies of the run that start before a place of the line."""
