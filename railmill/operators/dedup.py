@@ -63,7 +63,7 @@ def first_and_last(df: DataFrame, keys, order: list[str], fields: dict[str, tupl
     """First and last row per key in one pass.
 
     ``fields`` maps a source column to its (first, last) output names. ``min_by`` and
-    ``max_by`` combine before the shuffle, so no group is ever gathered or sorted.
+    ``max_by`` combine before the shuffle, so no group is gathered; for text fields Spark sorts each task's rows.
     """
     position = F.struct(*order, *fields)
     values = F.struct(*fields)
