@@ -8,7 +8,7 @@ log-odds against the base rate, less a constant drift that makes clean text nega
 A linear scan then finds all maximal scoring segments of a text. For negative drift the score S of
 the best segment among n clean tokens follows an extreme-value law: about K*n*exp(-lambda*S)
 segments reach S by chance. lambda solves E[exp(lambda*s)] = 1 over clean tokens and K is fitted to
-clean documents. A logistic curve over the evidence of the best and of all significant segments
+clean documents. A logistic curve over the logarithms of the evidence of the best and of all significant segments
 turns it into a score between 0 and 1.
 """
 
@@ -35,6 +35,8 @@ PRIOR = 10.0
 DRIFT = 0.6
 MIN_DOCS = 2
 SAMPLE_DOCS = 16_384
+LEAST = -5.0  # evidence below counts as this
+GUESS = (-2.0, 0.0, 1.0)  # weights before any document is seen
 
 
 class Tokens(NamedTuple):
@@ -112,7 +114,7 @@ class Model(NamedTuple):
     lexicon: Lexicon
     decay: float  # lambda
     log_k: float
-    weights: np.ndarray  # of 1, best evidence, total evidence
+    weights: np.ndarray  # of 1 and the logarithms of best and total evidence: long texts do not saturate the score
 
     def evidence(self, scores: np.ndarray) -> tuple[float, float, list[tuple[int, int, float]]]:
         """Evidence of the best segment and the sum over segments expected less than once by chance."""
@@ -122,10 +124,10 @@ class Model(NamedTuple):
         found = [(a, b, self.decay * s - offset) for a, b, s in segments(scores)]
         significant = [f for f in found if f[2] > 0]
         best = max((f[2] for f in found), default=-offset)
-        return max(best, -5.0), sum(f[2] for f in significant), significant
+        return max(best, LEAST), sum(f[2] for f in significant), significant
 
     def probability(self, best: float, total: float) -> float:
-        x = self.weights @ (1.0, best, np.log1p(total))
+        x = self.weights @ (1.0, np.log1p(best - LEAST), np.log1p(total))
         return float(1 / (1 + np.exp(-np.clip(x, -50, 50))))
 
 
@@ -206,17 +208,29 @@ def _solve_decay(edges: np.ndarray, counts: np.ndarray) -> float:
     return low
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 50) -> np.ndarray:
-    """Weights of a ridge-penalised logistic regression, by Newton's method."""
-    w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(x.shape[1])
+def fit_logistic(x: np.ndarray, y: np.ndarray, guess: tuple[float, ...] = GUESS, ridge: float = 1.0, steps: int = 100) -> np.ndarray:
+    """Weights of a logistic regression with a ridge penalty around ``guess``, by damped Newton steps.
+
+    A full step may overshoot where nearly all points are certain; it is halved until it gains.
+    """
+    start = np.array(guess)
+    w = start
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + ridge * ((w - start) @ (w - start)) / 2
+
+    at = loss(w)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + ridge * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, gradient)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        gradient = x.T @ (p - y) + ridge * (w - start)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
+        while np.abs(step).max() > 1e-8 and loss(w - step) > at:
+            step = step / 2
+        if np.abs(step).max() <= 1e-8:
             break
+        w = w - step
+        at = loss(w)
     return w
 
 
@@ -263,12 +277,12 @@ def learn(sample: DataFrame, scratch: Scratch) -> Model | None:
     )
     clean = docs.filter("label = 0 and n > 0 and best > 0").select(F.avg(F.lit(decay) * F.col("best") - F.log("n")))
     log_k = float((clean.first()[0] or 0.0) - np.euler_gamma)  # mean of a Gumbel variable
-    draft = Model(lexicon, decay, log_k, np.array([-2.0, 1.0, 1.0]))
+    draft = Model(lexicon, decay, log_k, np.array(GUESS))
     offset = F.lit(log_k) + F.log(F.greatest("n", F.lit(1)))
     gains = F.transform("segments", lambda s: F.greatest(F.lit(decay) * s - offset, F.lit(0.0)))
     total_gain = F.aggregate(gains, F.lit(0.0), lambda x, y: x + y)
-    best = F.when(F.col("n") > 0, F.greatest(F.lit(decay) * F.col("best") - offset, F.lit(-5.0))).otherwise(0.0)
-    points = docs.select("label", best.alias("best"), F.log1p(total_gain).alias("total")).toArrow()
+    best = F.when(F.col("n") > 0, F.greatest(F.lit(decay) * F.col("best") - offset, F.lit(LEAST))).otherwise(0.0)
+    points = docs.select("label", F.log1p(best - LEAST).alias("best"), F.log1p(total_gain).alias("total")).toArrow()
     y, x1, x2 = (points.column(i).to_numpy().astype(float) for i in range(3))
     shared.destroy()
     if 0 < y.sum() < len(y):
@@ -306,7 +320,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE
     model = learn(labelled_sample(texts, labels, "toxic", sample_docs, scratch), scratch)
     if model is None:
         nothing = Lexicon(_tables(), _tables(), 0.5)
-        model = Model(nothing, 1.0, 0.0, np.array([-2.0, 1.0, 1.0]))
+        model = Model(nothing, 1.0, 0.0, np.array(GUESS))
     shared = spark.sparkContext.broadcast(model)
     scored = texts.mapInArrow(
         lambda b: _scored(b, shared),

@@ -28,6 +28,24 @@ def test_toxicity_on_held_out_documents(spark, middle):
     assert all(r["predicted"] == (r["score"] >= 0.5) for _, r in rows)
 
 
+def test_toxicity_ranks_held_out_documents(spark, middle):
+    """Copies and long texts make evidence large and the classes nearly separable; scores must still tell texts apart."""
+    docs, labels = (spark.read.parquet(f"{middle}/{t}.parquet") for t in ("documents", "labels"))
+    held = [(y, r["score"]) for y, r in labelled(toxicity.score_toxicity(docs, labels), spark, middle, "toxic") if r["held_out"]]
+    ones, zeros = ([s for y, s in held if y == label] for label in (1, 0))
+    assert np.mean([(a > b) + (a == b) / 2 for a in ones for b in zeros]) > 0.88
+
+
+def test_logistic_fit_does_not_overshoot():
+    """Evidence with a heavy tail and nearly separable classes: plain Newton steps run away and rank nothing."""
+    rng = np.random.default_rng(1148)
+    tail = rng.uniform(1, 2.5)
+    best = np.concatenate((rng.normal(-3, 0.3, 2400), rng.lognormal(1, tail, 40), rng.lognormal(4.5, tail / 2, 200)))
+    y = np.concatenate((np.zeros(2440), np.ones(200)))
+    w = toxicity.fit_logistic(np.stack((np.ones_like(best), best, np.log1p(np.maximum(best, 0))), axis=1), y)
+    assert np.abs(w).max() < 100
+
+
 def test_quality_on_held_out_documents(spark, middle):
     docs, labels = (spark.read.parquet(f"{middle}/{t}.parquet") for t in ("documents", "labels"))
     rows = labelled(quality.score_quality(docs, labels), spark, middle, "quality")
