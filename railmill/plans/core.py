@@ -251,7 +251,8 @@ def bridge_td_to_schedule(describer: DataFrame, schedules: DataFrame) -> DataFra
         .distinct()
     )
     planned = schedules.filter(F.col("train_signalling_id").isNotNull()).select(*columns).distinct()
-    bridge = seen.join(planned, "train_signalling_id", "left").select(
+    # planned grows with the timetable, but the files it is parsed from look small enough to send through the driver
+    bridge = seen.join(planned.hint("merge"), "train_signalling_id", "left").select(
         surrogate_key("train_signalling_id", "schedule_id", "schedule_start_date", "schedule_end_date").alias(
             "bridge_id"
         ),
