@@ -78,3 +78,32 @@ def test_no_forced_broadcast_in_the_library():
     for path in Path(railmill.__file__).parent.rglob("*.py"):
         code = path.read_text()
         assert "F.broadcast(" not in code and "localCheckpoint" not in code and ".crossJoin(" not in code, path
+
+
+def joins(text):
+    """Kind and text of every join, the last one first."""
+    return re.findall(r"(\w+Join) (\[.*)", text)
+
+
+@pytest.mark.parametrize(
+    "name, key",
+    [
+        ("p19_bridge_td_to_schedule", "train_signalling_id"),
+        ("p21_fact_activation", "train_uid"),
+        ("p22_fact_movement", "train_uid"),
+        ("p22_fact_movement", "train_id"),
+        ("p24_fact_scheduled_location", "train_uid"),
+    ],
+)
+def test_what_grows_with_the_timetable_is_not_sent_through_the_driver(spark, name, key):
+    """The files look small when the plan is made, the rows parsed from them are not."""
+    kinds = [kind for kind, on in joins(plan(QUERIES[name](spark, SF_DIR))) if on.startswith(f"[{key}#")]
+    assert kinds and set(kinds) == {"SortMergeJoin"}
+
+
+def test_berth_events_multiply_in_the_last_join(spark):
+    """Steps meet all schedules of their signalling id there, and no join or shuffle follows."""
+    text = plan(QUERIES["p23_fact_berth_events"](spark, SF_DIR))
+    kind, on = joins(text)[0]
+    assert kind == "SortMergeJoin" and "_range_bin" in on
+    assert "Exchange" not in text[: text.index("_range_bin")]
