@@ -411,16 +411,16 @@ def _(t):
         part = t.events.select(message.alias("value"), C("ts").alias("ingest_ts"))
         frames = part if frames is None else frames.unionByName(part)
     messages = feeds.parse_messages(feeds.split_frames(frames))
-    out = None
+    rows = {}
     for event, names in FIELDS.items():
-        rows = feeds.typed_events(messages, event)
-        where = F.lit(None).cast("bigint") if event == "change_identity" else C(names[1])
-        detail = C(names[-1]).cast("string") if event == "change_identity" or len(names) > 2 else F.lit(None).cast("string")
-        part = rows.select(
-            F.lit(event).alias("event"), "train_id", C(names[0]).alias("at"), where.alias("place"), detail.alias("detail")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+        typed = feeds.typed_fields(event)
+        where = F.lit(None).cast("bigint") if event == "change_identity" else typed[names[1]]
+        detail = typed[names[-1]].cast("string") if event == "change_identity" or len(names) > 2 else F.lit(None).cast("string")
+        rows[event] = F.struct(
+            F.lit(event).alias("event"), typed["train_id"].alias("train_id"), typed[names[0]].alias("at"),
+            where.alias("place"), detail.alias("detail"),
+        )
+    return feeds.typed_together(messages, rows)
 
 
 @query(

@@ -92,3 +92,14 @@ def test_gzip_dump_is_spread(spark, tmp_path):
     ).text(path)
     df = files.read_tagged_dump(spark, path, TS, partitions=4)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 50
+
+
+def test_several_types_are_typed_in_one_pass(spark):
+    sent = [json.dumps(message(code, train_id=f"t{code}", loc_stanox="7")) for code in ("0002", "0003", "0003", "0001", "9")]
+    parsed = feeds.parse_messages(frames(spark, *sent))
+    rows = {e: F.struct(F.lit(e).alias("event"), *[feeds.typed_fields(e)[c].alias(c) for c in ("train_id", "loc_stanox")]) for e in ("movement", "cancellation")}
+    typed = feeds.typed_together(parsed, rows)
+    want = [(e, *r) for e in rows for r in feeds.typed_events(parsed, e).select("train_id", "loc_stanox").collect()]
+    assert sorted(map(tuple, typed.collect())) == sorted(want) and len(want) == 3
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == parsed._jdf.queryExecution().optimizedPlan().toString().count("from_json")
