@@ -163,3 +163,18 @@ def test_quality_reports(spark):
         report = quality.freshness(stamped, "t", noon + dt.timedelta(hours=hours)).first()
         assert report.status == status
     assert quality.freshness(stamped.limit(0), "t", noon).first().status == "error"
+
+
+def test_many_marks_in_few_groups_number_rows_without_gathering_a_group(spark):
+    rows = spark.sql("select id % 2 as k, (id * 7919) % 5000 as o, id as v from range(5000)")
+    placed = aggregates.numbered(rows, ["k"], ["o", "v"], run_rows=20)
+    got = sorted((r["k"], r["position"], r["o"], r["v"]) for r in placed.collect())
+    ordered = {k: sorted((r["o"], r["v"]) for r in rows.collect() if r["k"] == k) for k in (0, 1)}
+    assert got == [(k, i, *p) for k in (0, 1) for i, p in enumerate(ordered[k])]
+    # the rows meet the marks where they are, whatever Spark knows of sizes: no shuffle by the group alone
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = aggregates.numbered(rows, ["k"], ["o", "v"], run_rows=20)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan
