@@ -61,18 +61,23 @@ class LiveTrain(StatefulProcessor):
         self.state = handle.getValueState("live", "records string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        kept = json.loads(self.state.get()[0]) if self.state.exists() else []
+        held = self.state.get()  # every call to the state store is a round trip, so none is made in vain
+        kept = [] if held is None else json.loads(held[0])
         for batch in rows:
-            newest = batch.sort_values("arrival").tail(self.points)
-            newest = newest.astype(object).where(newest.notna(), None)
-            records = newest.to_dict("records")
-            added = [[int(r["arrival"]), [r[f] for f in self.fields], r["arrived_at"]] for r in records]
+            # plain lists of the few newest rows: frame operations cost more than all else for a train
+            last = batch["arrival"].to_numpy().argsort()[-self.points :]
+            arrivals, times, *values = (
+                [None if v is None or v != v else v for v in batch[c].to_numpy()[last].tolist()]
+                for c in ("arrival", "arrived_at", *self.fields)
+            )
+            added = [[int(a), list(v), at] for a, at, *v in zip(arrivals, times, *values)]
             kept = heapq.nlargest(self.points, kept + added, key=lambda record: record[0])
         kept.sort(key=lambda record: record[0])
         self.state.update((json.dumps(kept, default=str),))
         if self.expiry_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
+            if held is not None:  # state and timer come and go together
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expiry_ms)
         row = {"train_id": key[0], "expired": False, **dict(zip(self.fields, kept[-1][1]))}
         lon, lat = self.fields.index("longitude"), self.fields.index("latitude")

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,22 @@ def test_lookups_are_read_anew_only_with_a_new_version(spark):
     assert names() == ["renamed"]
     publish(3, "again")  # two versions are kept, so held ones can still be read
     assert names() == ["again"]
+
+
+def test_live_train_takes_its_newest_rows_without_frame_operations(monkeypatch):
+    class State:
+        held = None
+        get = lambda self: self.held
+        update = lambda self, value: setattr(self, "held", value)
+
+    train = live_state.LiveTrain(2, None, live_state.FIELDS)
+    train.state = State()
+    nothing = dict.fromkeys(live_state.FIELDS)
+    rows = [{**nothing, "arrival": a, "arrived_at": at, "longitude": float(a), "latitude": 1.0, "timetable_variation": v}
+            for a, at, v in ((5, "b", 4.0), (3, "a", None), (9, None, None))]
+    batch = pd.DataFrame(rows)
+    for costly in ("sort_values", "astype", "where", "to_dict"):  # each cost more than all else for a train
+        monkeypatch.setattr(pd.DataFrame, costly, None)
+    (got,) = train.handleInputRows(("t",), iter([batch]), None)
+    assert json.loads(got["trail"][0]) == [{"longitude": 5.0, "latitude": 1.0}, {"longitude": 9.0, "latitude": 1.0}]
+    assert got["last_update"][0] == "b" and got["timetable_variation"][0] is None and got["train_id"][0] == "t"
