@@ -133,7 +133,8 @@ STEP = "d.area_id = b.td and d.from_berth = b.from_berth and d.to_berth = b.to_b
 )
 def _(t):
     on = joins.equal_on("d", "b", [("area_id", "td"), ("from_berth", "from_berth"), ("to_berth", "to_berth")])
-    joined = t.role("in_describer").alias("d").join(t.role("in_smart").alias("b"), on, "left")
+    # the rows multiply here: merged, those of one step lie together and pack well, and no task is one file of the events
+    joined = t.role("in_describer").alias("d").join(t.role("in_smart").hint("merge").alias("b"), on, "left")
     return joined.select("d.event_id", "b.route")
 
 

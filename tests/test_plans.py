@@ -107,3 +107,8 @@ def test_berth_events_multiply_in_the_last_join(spark):
     kind, on = joins(text)[0]
     assert kind == "SortMergeJoin" and "_range_bin" in on
     assert "Exchange" not in text[: text.index("_range_bin")]
+
+
+def test_rows_that_multiply_by_berth_step_lie_together(spark):
+    text = plan(QUERIES["e09_three_condition_join"](spark, SF_DIR))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
