@@ -11,6 +11,8 @@ from railmill import functions as fn
 from railmill.functions.labels import DELAY_BUCKETS
 from railmill.operators import aggregates, arrays, dedup, filters, joins
 from railmill.plans import core, live
+from railmill.session import shared_dir
+from railmill.sources.tables import write_parquet
 
 C = F.col
 UNKNOWN = "md5('Unknown')"
@@ -155,9 +157,10 @@ ENRICH_DAY = dt.date(2024, 1, 10)
 def enriched(t):
     movements = t.role("in_movement").withColumnsRenamed({"variation_status": "status"})
     geo = live.one_per_key(t.role("geo"), "station_id")
-    schedules = t.role("schedule")
-    operators = t.role("toc")
-    return live.enrich_movements(movements, geo, schedules, operators, ENRICH_DAY)
+    # stored first, as the daily run does: one row per signalling id, so few that the movements need not be shuffled for them
+    current = shared_dir(t.spark, "current")
+    write_parquet(live.current_schedules(t.role("schedule"), ENRICH_DAY), current)
+    return live.enrich_movements(movements, geo, t.spark.read.parquet(current), t.role("toc"))
 
 
 ENRICHED = """

@@ -112,3 +112,13 @@ def test_berth_events_multiply_in_the_last_join(spark):
 def test_rows_that_multiply_by_berth_step_lie_together(spark):
     text = plan(QUERIES["e09_three_condition_join"](spark, SF_DIR))
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_enrichment_knows_how_few_current_schedules_there_are(spark):
+    """The movements are not shuffled for them, however large the timetable they are chosen from."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        kinds = [kind for kind, on in joins(plan(QUERIES["e11_enrich_movements"](spark, SF_DIR))) if "train_signalling_id" in on]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kinds == ["BroadcastHashJoin"]
