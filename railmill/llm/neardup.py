@@ -35,6 +35,8 @@ SHARE_SHINGLES = 1 << 16
 _RANK = U64(40)
 _STEP = 0x9E3779B97F4A7C15
 _ACTIVE = 1 << 17
+# Words of the parities of a difference.
+PARITY = [f"p{i}" for i in range(8)]
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -136,6 +138,15 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
     )
 
 
+def parities(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """``64 * len(PARITY)`` bits (uint64 x ``len(PARITY)``) per set: each element flips one, so bits that differ are elements that differ."""
+    n, width = len(bounds) - 1, 64 * len(PARITY)
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    bit = ((mix(elements) >> U64(40)) % U64(width)).astype(np.int64)
+    odd = np.bincount(row * width + bit, minlength=n * width).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, width), axis=1, bitorder="little").view(U64)
+
+
 def _compared(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Rows arrive by (centre, share) with the centre's text first: only its set is held."""
     group_of, head = None, None
@@ -159,16 +170,18 @@ def _compared(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
                 linked.append(100 * (total - len(diff)) >= percent * (total + len(diff)))
                 diffs.append(diff)
             offsets = np.concatenate(([0], np.cumsum([len(d) for d in diffs]))).astype(np.int32)
-            values = as_long(np.concatenate(diffs)) if diffs else np.zeros(0, np.int64)
+            elements = np.concatenate([np.zeros(0, dtype=U64), *diffs])
+            odd = parities(elements, offsets)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(node[rows], pa.int64()),
                     pa.array(centre[rows], pa.int64()),
                     pa.array(numbers, pa.int64()),
                     pa.array(linked, pa.bool_()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(as_long(elements))),
+                    *[pa.array(as_long(word)) for word in odd.T],
                 ],
-                names=["a", "b", "n", "linked", "diff"],
+                names=["a", "b", "n", "linked", "diff", *PARITY],
             )
 
 
@@ -202,20 +215,24 @@ def _compare(pairs: DataFrame, texts: DataFrame, sets: DataFrame, size: int, per
         .sortWithinPartitions("centre", "share", "role")
         .mapInArrow(
             lambda batches: _compared(batches, size, percent),
-            "a bigint, b bigint, n bigint, linked boolean, diff array<bigint>",
+            "a bigint, b bigint, n bigint, linked boolean, diff array<bigint>" + "".join(f", {c} bigint" for c in PARITY),
         )
     )
 
 
 def _further_links(compared: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links between members of one centre that lie in different groups so far.
+    """``(node, label)`` after all links between members of one centre that lie in different groups so far.
 
     Let D(x) be the difference of x to the centre. Then the difference of x and y is that of D(x)
     and D(y), and they are linked if it has at most ``t = (1 - s) / (1 + s) * (|x| + |y|)``
     elements for similarity s. If D(x) and D(y) share nothing, that makes both linked to the centre.
     Otherwise take any order of elements, and the first one they share: it comes after at most
     ``|D(x) - D(y)| <= (t + |D(x)| - |D(y)|) / 2`` elements of D(x), and likewise of D(y). Rare
-    elements first keeps the lists short that such a prefix can meet in.
+    elements first keeps the lists short that such a prefix can meet in. Bits in which the parities of
+    D(x) and D(y) differ are elements that do, so pairs with too many of them do not leave the join.
+
+    A list of rows that share an element may hold many links that say the same. So its rows first meet only
+    one of them, a linked one if there is any, and all rows of different groups meet when groups have grown by that.
     """
     s = percent / 100
     per_pair, alone = (1 - s) / (1 + s), (1 - s) / s
@@ -225,37 +242,54 @@ def _further_links(compared: DataFrame, labels: DataFrame, percent: int, scratch
     known = placed.select("b", "label").unionByName(heads.select("b", F.coalesce("label", "b").alias("label")))
     mixed = known.groupBy("b").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
     mixed = scratch.keep(mixed.select("b"), "mixed")
-    members = scratch.keep(
-        placed.join(mixed, "b").select("b", "a", "n", "label", F.size("diff").alias("d"), "diff"), "open"
-    )
+    members = placed.join(mixed, "b").select("b", "a", "n", "label", F.size("diff").alias("d"), "diff", *PARITY)
+    members = scratch.keep(members, "open")
     elements = members.select("b", "a", F.explode("diff").alias("element"))
     often = scratch.keep(elements.groupBy("b", "element").agg(F.count("*").alias("often")), "elements")
     ranked = elements.join(often, ["b", "element"]).groupBy("b", "a").agg(
         F.sort_array(F.collect_list(F.struct("often", "element"))).alias("ranked")
     )
     prefix = F.slice("ranked", 1, F.floor(F.col("n") * alone + 1e-6).cast("int") + 1)
-    heads = members.select("b", "a", "n", "label", "d").join(ranked, ["b", "a"])
-    heads = heads.select("b", "a", "n", "label", "d", F.posexplode(prefix).alias("at", "item"))
+    heads = members.select("b", "a", "n", "label", "d", *PARITY).join(ranked, ["b", "a"])
+    heads = heads.select("b", "a", "n", "label", "d", *PARITY, F.posexplode(prefix).alias("at", "item"))
     heads = scratch.keep(heads.filter("item.often > 1").select("*", "item.element").drop("item"), "prefixes")
-    x, y = heads.alias("x"), heads.alias("y")
     limit = (F.col("x.n") + F.col("y.n")) * per_pair + 1e-6
-    meet = x.join(
-        y,
+    least = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in PARITY), F.lit(0))
+    near = (
         (F.col("x.b") == F.col("y.b"))
         & (F.col("x.element") == F.col("y.element"))
-        & (F.col("x.a") < F.col("y.a"))
         & (F.col("x.label") != F.col("y.label"))
         & (F.col("x.at") * 2 <= limit + F.col("x.d") - F.col("y.d"))
-        & (F.col("y.at") * 2 <= limit + F.col("y.d") - F.col("x.d")),
+        & (F.col("y.at") * 2 <= limit + F.col("y.d") - F.col("x.d"))
+        & (least <= limit)
     )
-    pairs = scratch.keep(meet.select("x.b", F.col("x.a").alias("a"), F.col("y.a").alias("c")).distinct(), "meet")
-    left = members.select("b", "a", F.col("n").alias("n_a"), F.col("diff").alias("diff_a"))
-    right = members.select("b", F.col("a").alias("c"), F.col("n").alias("n_c"), F.col("diff").alias("diff_c"))
-    both = pairs.join(left, ["b", "a"]).join(right, ["b", "c"])
-    common = F.size(F.array_intersect("diff_a", "diff_c"))
-    apart = F.size("diff_a") + F.size("diff_c") - 2 * common
-    total = F.col("n_a") + F.col("n_c")
-    return both.filter((total - apart) * 100 >= (total + apart) * percent).select("a", F.col("c").alias("b"))
+
+    def linked(meet: DataFrame) -> DataFrame:
+        # a pair meets at several elements and below several centres, any of which will do
+        low, high = F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("c")
+        pairs = scratch.keep(meet.select("x.b", low, high).groupBy("a", "c").agg(F.min("b").alias("b")), "meet")
+        left = members.select("b", "a", F.col("n").alias("n_a"), F.col("diff").alias("diff_a"))
+        right = members.select("b", F.col("a").alias("c"), F.col("n").alias("n_c"), F.col("diff").alias("diff_c"))
+        both = pairs.join(left, ["b", "a"]).join(right, ["b", "c"])
+        common = F.size(F.array_intersect("diff_a", "diff_c"))
+        apart = F.size("diff_a") + F.size("diff_c") - 2 * common
+        total = F.col("n_a") + F.col("n_c")
+        both = both.filter((total - apart) * 100 >= (total + apart) * percent)
+        return scratch.keep(both.select("a", F.col("c").alias("b")), "more")
+
+    def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            return labels
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        return scratch.keep(components(more.unionByName(known), scratch), "labels")
+
+    # a group's label is its smallest node: rows below theirs are linked
+    one = F.struct(F.col("label") < F.col("a"), F.xxhash64("a", "element"), "a", "n", "label", "d", "at", *PARITY)
+    stars = heads.groupBy("b", "element").agg(F.max(one).alias("one")).select("b", "element", "one.*")
+    labels = joined(labels, linked(heads.alias("x").join(stars.alias("y"), near)))
+    rows = heads.drop("label").join(labels.select(F.col("node").alias("a"), "label"), "a", "left")
+    rows = scratch.keep(rows.withColumn("label", F.coalesce("label", "a")), "rows")
+    return joined(labels, linked(rows.alias("x").join(rows.alias("y"), near & (F.col("x.a") < F.col("y.a")))))
 
 
 def _groups(buckets: DataFrame, texts: DataFrame, sets: DataFrame, known: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -267,10 +301,7 @@ def _groups(buckets: DataFrame, texts: DataFrame, sets: DataFrame, known: DataFr
     compared = scratch.keep(_compare(pairs, texts, sets, size, percent, scratch), "compared")
     links = scratch.keep(compared.filter("linked").select("a", "b").unionByName(known), "links")
     labels = scratch.keep(components(links, scratch), "labels")
-    more = scratch.keep(_further_links(compared, labels, percent, scratch), "more")
-    if more.isEmpty():
-        return labels
-    return components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), scratch)
+    return _further_links(compared, labels, percent, scratch)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -4,8 +4,10 @@ import re
 import numpy as np
 import pytest
 
+from railmill.llm import neardup
+from railmill.llm.common import Scratch
 from railmill.llm.neardup import MISSED, banding, near_duplicates, super_minhash
-from railmill.llm.tokens import U64, mix
+from railmill.llm.tokens import U64, as_long, mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -70,6 +72,43 @@ def test_a_large_group_around_one_text(spark, documents, size, percent, seed):
     assert 1 < len(set(c for _, c in want.values())) < 250
 
 
+def test_members_linked_with_each_other_only_meet_few(spark, monkeypatch):
+    """Members that differ alike from their centre are all linked: a share of the prefix rows meets, not all pairs."""
+    met = []
+    keep = Scratch.keep
+
+    def counted(self, df, name="step"):
+        kept = keep(self, df, name)
+        if name == "meet":
+            met.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    members, alike = 300, list(range(1000, 1036))
+    diffs = [[*alike, 2 * i, 2 * i + 1] for i in range(members)]
+    odd = as_long(neardup.parities(np.array(sum(diffs, []), dtype=U64), np.arange(members + 1) * len(diffs[0])))
+    rows = [(i + 1, 0, 150, False, d, *map(int, o)) for i, (d, o) in enumerate(zip(diffs, odd))]
+    columns = ["a bigint, b bigint, n bigint, linked boolean, diff array<bigint>", *[f"{c} bigint" for c in neardup.PARITY]]
+    compared = spark.createDataFrame(rows, ", ".join(columns))
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    got = neardup._further_links(compared, labels, 85, Scratch(spark, "test")).collect()
+    assert {tuple(r) for r in got} == {(i + 1, 1) for i in range(members)}
+    assert sum(met) <= members * len(alike) < members * (members - 1) // 2
+
+
+def test_parities_bound_differences():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 40, n).astype(U64)) for n in (0, 1, 30, 60, 400)]
+    sets.append(np.concatenate([sets[3][:50], sets[2]]))
+    bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    odd = neardup.parities(np.concatenate(sets), bounds)
+    assert odd.shape == (6, len(neardup.PARITY)) and not odd[0].any()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert np.bitwise_count(odd[i] ^ odd[j]).sum() <= len(np.setxor1d(a, b))
+    assert np.bitwise_count(odd[3] ^ odd[5]).sum() > 30
+
+
 def test_chains_join_through_links(spark, documents):
     words = [f"w{i}" for i in range(60)]
     rows = []
