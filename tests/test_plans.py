@@ -7,7 +7,7 @@ import pytest
 
 from catalogue import load_all
 from catalogue.registry import QUERIES, Tables
-from railmill.plans import marts, performance, timetable
+from railmill.plans import core, marts, performance, timetable
 
 SF_DIR = "/root/testdata/sf0.001"
 load_all()
@@ -109,6 +109,14 @@ def test_berth_events_multiply_in_the_last_join(spark):
     assert "Exchange" not in text[: text.index("_range_bin")]
 
 
+def test_berth_events_make_the_text_of_a_time_once_a_step(spark):
+    """After the join that multiplies rows the key takes it from the step."""
+    m = Tables(spark, SF_DIR).models
+    text = plan(core.fact_berth_events(m.stg_describer, m.dim_area, m.dim_signal_berth, m.bridge_td))
+    after, before = text[: text.index("SortMergeJoin")], text[text.index("SortMergeJoin") :]
+    assert "md5" in after and "cast(event_ts" not in after and "cast(event_ts" in before
+
+
 def test_rows_that_multiply_by_berth_step_lie_together(spark):
     text = plan(QUERIES["e09_three_condition_join"](spark, SF_DIR))
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
