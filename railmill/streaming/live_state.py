@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from railmill.functions.labels import LIVE_STALE_MINUTES, LIVE_TRAIL_POINTS
 from railmill.operators.dedup import first_k, remaining_order
@@ -48,7 +49,23 @@ OUTPUT = f"""
 BATCH = "batch_id"
 
 
-class LiveTrain(StatefulProcessor):
+class Held:
+    """One state value of a train; it travels with the train's rows, so reading and changing it asks nobody."""
+
+    def __init__(self, state: GroupState):
+        self.held = state
+
+    def get(self) -> tuple | None:
+        return self.held.getOption
+
+    def update(self, value: tuple) -> None:
+        self.held.update(value)
+
+    def clear(self) -> None:
+        self.held.remove()
+
+
+class LiveTrain:
     """Keeps, per train, the last records in arrival order as a JSON list in one state value."""
 
     def __init__(self, points: int, expiry_ms: int | None, fields: list[str]):
@@ -56,12 +73,12 @@ class LiveTrain(StatefulProcessor):
         self.expiry_ms = expiry_ms
         self.fields = fields
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("live", "records string")
+    def __call__(self, key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        self.state = Held(state)
+        return iter(list(self.handleExpiry(key) if state.hasTimedOut else self.handleInputRows(key, rows, state)))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get()  # every call to the state store is a round trip, so none is made in vain
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer: GroupState | None) -> Iterator[pd.DataFrame]:
+        held = self.state.get()
         kept = [] if held is None else json.loads(held[0])
         for batch in rows:
             # plain lists of the few newest rows: frame operations cost more than all else for a train
@@ -75,30 +92,25 @@ class LiveTrain(StatefulProcessor):
         kept.sort(key=lambda record: record[0])
         self.state.update((json.dumps(kept, default=str),))
         if self.expiry_ms is not None:
-            if held is not None:  # state and timer come and go together
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expiry_ms)
-        row = {"train_id": key[0], "expired": False, **dict(zip(self.fields, kept[-1][1]))}
+            timer.setTimeoutDuration(self.expiry_ms)
+        row = {"train_id": key[0], **dict(zip(self.fields, kept[-1][1]))}
         lon, lat = self.fields.index("longitude"), self.fields.index("latitude")
         row["trail"] = json.dumps([{"longitude": v[lon], "latitude": v[lat]} for _, v, _ in kept])
         row["last_update"] = max((at for *_, at in kept if at is not None), default=None)
-        yield pd.DataFrame([row])
+        yield pd.DataFrame([row | {"expired": False}])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiry(self, key) -> Iterator[pd.DataFrame]:
         """The train was silent for too long: its state goes, and a last row says so."""
-        kept = json.loads(self.state.get()[0]) if self.state.exists() else []
+        held = self.state.get()
+        kept = [] if held is None else json.loads(held[0])
         self.state.clear()
         newest = max((at for *_, at in kept if at is not None), default=None)
         if newest is not None:
             silent = dt.datetime.strptime(newest, "%Y-%m-%d %H:%M:%S.%f") + dt.timedelta(milliseconds=self.expiry_ms)
             newest = silent.strftime("%Y-%m-%d %H:%M:%S.%f")
-        row = dict.fromkeys(self.fields) | {"train_id": key[0], "trail": None, "last_update": newest, "expired": True}
+        row = {"train_id": key[0], **dict.fromkeys(self.fields), "trail": None, "last_update": newest, "expired": True}
         yield pd.DataFrame([row]).astype(object)
 
-    def close(self) -> None:
-        pass
-
 
 def live_updates(
     enriched: DataFrame, points: int = LIVE_TRAIL_POINTS, stale_minutes: float | None = LIVE_STALE_MINUTES
@@ -122,11 +134,12 @@ def live_updates(
         *[F.col(c).cast("string").alias(c) if c == "planned_timestamp" else F.col(c) for c in FIELDS],
     )
     expiry = None if stale_minutes is None else int(stale_minutes * 60_000)
-    states = slim.groupBy("train_id").transformWithStateInPandas(
-        statefulProcessor=LiveTrain(points, expiry, FIELDS),
+    states = slim.groupBy("train_id").applyInPandasWithState(
+        LiveTrain(points, expiry, FIELDS).__call__,
         outputStructType=OUTPUT,
-        outputMode="Update",
-        timeMode="None" if expiry is None else "ProcessingTime",
+        stateStructType="records string",
+        outputMode="update",
+        timeoutConf=GroupStateTimeout.NoTimeout if expiry is None else GroupStateTimeout.ProcessingTimeTimeout,
     )
     return states.withColumns(
         {

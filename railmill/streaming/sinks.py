@@ -39,10 +39,12 @@ def start(
     return writer.trigger(**trigger).foreachBatch(handle).start()
 
 
-def run_to_end(query: StreamingQuery, timeout_seconds: int = 600) -> None:
-    """Waits for an available-now query and fails if it does not finish in time."""
+def run_to_end(query: StreamingQuery, timeout_seconds: int | None = None) -> None:
+    """Waits for an available-now query, which ends by itself; with a time limit it fails if the query does not end in time."""
     try:
-        if not query.awaitTermination(timeout_seconds):
+        if timeout_seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_seconds):
             raise TimeoutError(f"stream {query.id} did not finish in {timeout_seconds} s")
     finally:
         query.stop()

@@ -211,6 +211,23 @@ def test_lookups_are_read_anew_only_with_a_new_version(spark):
     assert names() == ["again"]
 
 
+def test_a_stream_is_not_cut_off_by_a_time_nobody_asked_for():
+    class Query:
+        id, stopped = "q", False
+
+        def awaitTermination(self, timeout=None):
+            return None if timeout is None else False  # still at work after any time
+
+        def stop(self):
+            self.stopped = True
+
+    query = Query()
+    sinks.run_to_end(query)
+    assert query.stopped
+    with pytest.raises(TimeoutError):
+        sinks.run_to_end(query, 1)
+
+
 def test_live_train_takes_its_newest_rows_without_frame_operations(monkeypatch):
     class State:
         held = None
